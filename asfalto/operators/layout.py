@@ -136,8 +136,17 @@ def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict
 
 
 def with_z(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFrame:
+    """Curve position of each row, over buckets of about equal share.
+
+    A column with few values has few buckets: they are moved up to its high bits, or it
+    would only count after every other column.
+    """
     bounds = quantile_bounds(df, columns, 1 << bits)
-    return df.withColumn(_Z, interleave([bucket_of(F.col(c), bounds[c]) for c in columns], bits))
+    buckets = [
+        F.shiftleft(bucket_of(F.col(c), bounds[c]), bits - len(bounds[c]).bit_length())
+        for c in columns
+    ]
+    return df.withColumn(_Z, interleave(buckets, bits))
 
 
 def zorder(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from asfalto import schemas as S
 from asfalto.functions import calendar
+from asfalto.functions.inline import relation
 from asfalto.operators.keys import surrogate_key
 
 
@@ -45,7 +46,7 @@ def dim_tipo_acidente(silver: DataFrame) -> DataFrame:
 
 
 def _enumerated(spark: SparkSession, names: list[str], schema) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(sorted(names), start=1)), schema)
+    return relation(spark, list(enumerate(sorted(names), start=1)), schema)
 
 
 def dim_veiculo(spark: SparkSession) -> DataFrame:

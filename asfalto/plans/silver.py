@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from asfalto import schemas as S
 from asfalto.functions import rows
+from asfalto.functions.inline import relation
+from asfalto.session import prepare
 
-_KEY = "_file_key"
+_KEY = S.OPERATOR_LOOKUP.names[0]
 # Columns that silver(audit=True) adds: casts of non-empty text that gave NULL.
 REJECTS = ["_rej_data", "_rej_hora", "_rej_km", "_rej_contagens"]
 
 
 def operator_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(S.OPERATOR_NAMES.items()), f"{_KEY} string, concessionaria string"
-    )
+    return relation(spark, list(S.OPERATOR_NAMES.items()), S.OPERATOR_LOOKUP)
 
 
 def lookup_default(df: DataFrame, lookup: DataFrame, key: str, value: str, default: str) -> DataFrame:
@@ -42,6 +42,7 @@ def map_operator(raw: DataFrame) -> DataFrame:
 
 def clean(named: DataFrame, audit: bool = False) -> DataFrame:
     """Type, normalise and enrich rows that already carry `concessionaria`."""
+    prepare(named.sparkSession)
     counts = {c: rows.parse_count(F.col(c)) for c in S.COUNTS}
     day, hour, km = (
         rows.parse_date(F.col("data")),

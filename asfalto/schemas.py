@@ -92,6 +92,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _INT, _TEXT = T.IntegerType(), T.StringType()
 
+OPERATOR_LOOKUP = _struct(("_file_key", _TEXT), ("concessionaria", _TEXT))
+CATALOGUE = _struct(("filename", _TEXT), ("concessionaria", _TEXT))
 RAW = _struct(*[(c, _TEXT) for c in RAW_COLUMNS])
 
 SILVER = _struct(

@@ -12,8 +12,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+}
+# What the work below needs of any session, also one that somebody else opened.
+NEEDED = {
     # the raw files are Windows-1252, which is outside the short list Spark 4 reads by default
     "spark.sql.legacy.javaCharsets": "true",
+    # HotSpot never compiles methods above 8,000 bytes of bytecode; the projections over some
+    # forty text columns would be one such method and run interpreted, several times slower.
+    # Past the limit Spark generates the same projection as many small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_roots: dict[str, str] = {}
@@ -23,11 +30,17 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName("asfalto")
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **settings}.items():
+    for name, value in {**SETTINGS, **NEEDED, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    for name, value in NEEDED.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir.
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asfalto import schemas as S
+from asfalto.session import prepare
 
 FOLDER = "Files/bronze/acidentes/"
 FILE_KEYS = [*S.OPERATOR_NAMES, "novanova"]
@@ -41,6 +42,7 @@ def _two_digits(number: Column) -> Column:
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     part, supplier, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("int")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asfalto import schemas as S
+from asfalto.functions.inline import relation
 from asfalto.functions.rows import file_name
 
 LANDED, PENDING, FAILED = "skip", "pendente", "erro"
@@ -14,10 +15,8 @@ DONE = "ok"
 
 def catalogue(spark: SparkSession) -> DataFrame:
     """The known sources: (filename, concessionaria)."""
-    return spark.createDataFrame(
-        [(f"demostrativo_acidentes_{key}.csv", name) for key, name in S.OPERATOR_NAMES.items()],
-        "filename string, concessionaria string",
-    )
+    files = [(f"demostrativo_acidentes_{key}.csv", name) for key, name in S.OPERATOR_NAMES.items()]
+    return relation(spark, files, S.CATALOGUE)
 
 
 def landed(spark: SparkSession, path: str) -> DataFrame:
@@ -33,9 +32,11 @@ def landed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(catalogued: DataFrame, found: DataFrame, force: bool = False) -> DataFrame:
-    """Status per catalogued file: landed ones are skipped, empty ones failed, `force` re-takes all."""
-    size = F.col("bytes")
-    status = F.when(size.isNull(), PENDING).when(size == 0, FAILED).otherwise(LANDED)
+    """Status per catalogued file: landed ones are skipped, `force` re-takes all.
+
+    Spark lists no empty files, so one that broke off before its first byte is still pending.
+    """
+    status = F.when(F.col("bytes").isNull(), PENDING).otherwise(LANDED)
     if force:
         status = F.lit(PENDING)
     return catalogued.join(found, "filename", "left").select(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asfalto import schemas as S
-from asfalto.sources.csv_files import CHARSET, QUOTE, SEPARATOR, allow_charset
+from asfalto.session import prepare
+from asfalto.sources.csv_files import CHARSET, QUOTE, SEPARATOR
 
 
 def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: str) -> int:
@@ -17,7 +18,7 @@ def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
     else is kept as state. Returns the number of rows this run added. All files must share
     the declared column order.
     """
-    allow_charset(spark)
+    prepare(spark)
     schema = T.StructType(S.RAW.fields)
     rows = (
         spark.readStream.schema(schema)
