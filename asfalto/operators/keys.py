@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asfalto.operators.layout import stage
+from asfalto.operators.layout import stage, stage_counted
 
 # Members numbered by one sorted task at most; above this the sort is spread over the cluster.
 ONE_TASK_ROWS = 500_000
@@ -22,8 +22,8 @@ def surrogate_key(
     The members are written once to the shared folder, so that counting and numbering do
     not derive them twice and every number comes from the same stored rows.
     """
-    stored = stage(members.select(*order), f"members-{name}")
-    if stored.count() <= one_task_rows:
+    stored, rows = stage_counted(members.select(*order), f"members-{name}")
+    if rows <= one_task_rows:
         return _number_in_one_task(stored, order, name)
     return number_by_blocks(stored, order, name)
 

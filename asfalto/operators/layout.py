@@ -23,6 +23,7 @@ class Written:
     written: int
     read_back: int
     metrics: dict = field(default_factory=dict)
+    frame: DataFrame | None = None  # scan of the stored table, its files already listed
 
     @property
     def complete(self) -> bool:
@@ -39,6 +40,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """`stage`, with the number of rows written; for frames whose last step follows a shuffle."""
+    seen = Observation()
+    stored = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return stored, seen.get["rows"]
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Scan a stored table. A given schema also fixes the type of the partition columns."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -78,9 +86,11 @@ def write_table(
         F.count(F.lit(1)).alias("_rows"),
         *[value.alias(name) for name, value in (metrics or {}).items()],
     )
-    observed.drop(*drop).write.mode(mode).partitionBy(*partitions).parquet(path)
+    kept = observed.drop(*drop)
+    kept.write.mode(mode).partitionBy(*partitions).parquet(path)
     taken = dict(seen.get)
-    return Written(path, taken.pop("_rows"), read_table(spark, path).count() - before, taken)
+    stored = read_table(spark, path, kept.schema)
+    return Written(path, taken.pop("_rows"), stored.count() - before, taken, stored)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:

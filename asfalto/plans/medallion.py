@@ -30,16 +30,26 @@ CLUSTERING = {
 
 
 class Lake(Mapping[str, DataFrame]):
-    """The stored tables under one folder, by name; each access is a lazy scan."""
+    """The stored tables under one folder, by name, as lazy scans.
+
+    A table's files are listed once, not on every access: a silver table is one directory per
+    year and operator. `save` replaces the scan; `refresh` forgets what others may have changed.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def __getitem__(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.path(table), S.TABLES[table][0])
+        if table not in self._scans:
+            self._scans[table] = read_table(self.spark, self.path(table), S.TABLES[table][0])
+        return self._scans[table]
+
+    def refresh(self) -> None:
+        self._scans.clear()
 
     def __iter__(self):
         return iter(S.TABLES)
@@ -50,9 +60,11 @@ class Lake(Mapping[str, DataFrame]):
     def save(self, table: str, df: DataFrame, **options) -> Written:
         schema, partitions = S.TABLES[table]
         kept = [c for c in df.columns if c in options.get("drop", ())]
-        return write_table(
+        done = write_table(
             df.select(*schema.names, *kept), self.path(table), partitions=partitions, **options
         )
+        self._scans[table] = done.frame
+        return done
 
     def publish(self) -> None:
         """Make every table available to SQL under its name, read from the stored copy."""

@@ -60,7 +60,14 @@ class Measure:
     context: Mapping[str, str] = field(default_factory=dict)
 
     def partial(self) -> Column:
-        return F.count(F.lit(1)) if self.column is None else F.sum(self.column)
+        value = F.lit(1) if self.column is None else F.col(self.column)
+        for column, fixed in self.context.items():
+            value = F.when(F.col(column) == fixed, value)
+        return F.count(value) if self.column is None else F.sum(value)
+
+    def replaced(self, touched: Sequence[str]) -> dict[str, str]:
+        """The fixed columns that the query also filters or groups by."""
+        return {c: v for c, v in self.context.items() if c in touched}
 
 
 @dataclass(frozen=True)
@@ -178,20 +185,22 @@ def ask(
     needed: dict[str, Measure] = {}
     for name in measures:
         measure = MEASURES[name]
-        parts = [measure.numerator, measure.denominator] if isinstance(measure, Ratio) else [name]
-        needed |= {part: MEASURES[part] for part in parts}
+        bases = [measure.numerator, measure.denominator] if isinstance(measure, Ratio) else [name]
+        needed |= {base: MEASURES[base] for base in bases}
     if all(any(c in m.context for c in by) for m in needed.values()):
         needed["total_acidentes"] = MEASURES["total_acidentes"]  # only to list the groups
-    groups: dict[tuple, dict[str, Measure]] = {}
+    # Measures of a fact share one scan, except those whose context replaces part of the query.
+    parts: dict[tuple, dict[str, Measure]] = {}
     for name, measure in needed.items():
-        groups.setdefault((measure.fact, tuple(measure.context.items())), {})[name] = measure
-    # the unconditional groups come first: they fix the groups of the answer
+        replaced = measure.replaced([*by, *where])
+        parts.setdefault((measure.fact, tuple(replaced.items())), {})[name] = measure
     answer = None
-    for (fact, context), members in sorted(groups.items(), key=lambda g: len(g[0][1])):
-        fixed = dict(context)
+    # parts under the whole query come first: they fix the groups of the answer
+    for (fact, replaced), members in sorted(parts.items(), key=lambda p: len(p[0][1])):
+        fixed = dict(replaced)
         shared = [c for c in by if c not in fixed]
-        filters = {c: v for c, v in where.items() if c not in fixed}
-        part = _aggregate(star, fact, members, shared, {**filters, **{c: [v] for c, v in fixed.items()}})
+        filters = {c: v for c, v in where.items() if c not in fixed} | {c: [v] for c, v in fixed.items()}
+        part = _aggregate(star, fact, members, shared, filters)
         answer = part if answer is None else _combine(answer, part, by, shared)
     columns = []
     for name in measures:

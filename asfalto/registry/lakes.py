@@ -31,7 +31,7 @@ def silver_lake(spark: SparkSession, sf_dir: str) -> M.Lake:
         lake = M.Lake(spark, new_folder(spark, "lake"))
         M.build_silver(lake, raw_rows(spark, sf_dir))
         _built[state] = lake
-    return M.Lake(spark, _built[state].root)
+    return _built[state]
 
 
 def gold_lake(spark: SparkSession, sf_dir: str) -> M.Lake:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a report page is dozens of generated classes; evicted ones are compiled and warmed up again
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 # What the work below needs of any session, also one that somebody else opened.
 NEEDED = {
