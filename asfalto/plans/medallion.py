@@ -5,21 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from asfalto import schemas as S
 from asfalto.operators.layout import Written, read_table, write_table, zorder
 from asfalto.operators.quality import gate_metrics, verdict
 from asfalto.plans import dims as D
-from asfalto.plans import facts as F_
+from asfalto.plans import facts
 from asfalto.plans.silver import REJECTS, silver
+from asfalto.sources.csv_files import EXTRA, fitting, surplus
 
 SILVER = "silver_acidentes"
+QUARANTINE = "bronze_quarentena"
 DIMENSIONS = [t for t in S.TABLES if "_dim_" in t]
 FACTS = {
-    "gold_fato_acidente": F_.fato_acidente,
-    "gold_fato_veiculo_acidente": F_.fato_veiculo_acidente,
-    "gold_fato_vitima_acidente": F_.fato_vitima_acidente,
+    "gold_fato_acidente": facts.fato_acidente,
+    "gold_fato_veiculo_acidente": facts.fato_veiculo_acidente,
+    "gold_fato_vitima_acidente": facts.fato_vitima_acidente,
 }
 # Columns that reports filter on most, per fact.
 CLUSTERING = {
@@ -79,9 +82,21 @@ def _together(jobs: Mapping[str, Callable[[], Written]]) -> dict[str, Written]:
         return {name: job.result() for name, job in running.items()}
 
 
-def build_silver(lake: Lake, raw: DataFrame) -> Written:
-    """Clean and write in one pass, with the quality metrics taken on the way."""
-    written = lake.save(SILVER, silver(raw, audit=True), metrics=gate_metrics(), drop=REJECTS)
+def build_silver(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> Written:
+    """Clean and write in one pass, with the quality metrics taken on the way.
+
+    Rows that a scan marks as too long go to the quarantine table instead. They are counted in
+    the same pass, and only if there are any is the scan repeated to store them.
+    """
+    marked, seen = EXTRA in raw.columns, Observation()
+    fit = raw
+    if marked:
+        too_long = F.count_if(F.col(EXTRA).isNotNull()).alias("excedentes")
+        fit = fitting(raw.observe(seen, too_long))
+    written = lake.save(SILVER, silver(fit, audit=True), mode=mode, metrics=gate_metrics(), drop=REJECTS)
+    if marked and seen.get["excedentes"]:
+        kept_out = write_table(surplus(raw), lake.path(QUARANTINE), mode=mode)
+        written.metrics["excedentes"] = kept_out.written
     written.metrics["veredito"] = verdict(written.metrics)
     return written
 
@@ -107,8 +122,7 @@ def build_facts(lake: Lake, only: str | None = None) -> dict[str, Written]:
     )
 
 
-def run(spark: SparkSession, raw: DataFrame, root: str) -> dict[str, Written]:
-    lake = Lake(spark, root)
+def run(lake: Lake, raw: DataFrame) -> dict[str, Written]:
     return {SILVER: build_silver(lake, raw), **build_dims(lake), **build_facts(lake)}
 
 

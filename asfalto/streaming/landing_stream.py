@@ -11,12 +11,11 @@ from asfalto.session import prepare
 from asfalto.sources.csv_files import CHARSET, QUOTE, SEPARATOR
 
 
-def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: str) -> int:
+def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: str) -> None:
     """Append the rows of new CSV files below `source` to the Parquet table `target`.
 
-    The checkpoint remembers taken files; a source file is one row group of work, and nothing
-    else is kept as state. Returns the number of rows this run added. All files must share
-    the declared column order.
+    The checkpoint remembers the files taken; there is no other state. All files must have the
+    declared column order, and each is read by one task, as multi-line fields demand.
     """
     prepare(spark)
     schema = T.StructType(S.RAW.fields)
@@ -32,12 +31,11 @@ def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
         .csv(source)
         .select("*", F.col("_metadata.file_path").alias(S.FILE_COLUMN))
     )
-    query = (
+    (
         rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
-    query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)

@@ -13,13 +13,12 @@ import sys
 import time
 from pathlib import Path
 
-from asfalto.plans import dashboard, medallion
-from asfalto.registry.queries import SLICED_MEASURES, SLICES
-from asfalto.plans import star
 from asfalto.operators import layout
+from asfalto.plans import dashboard, medallion, star
+from asfalto.registry.queries import SLICED_MEASURES, SLICES
 from asfalto.session import new_folder, session
 from asfalto.sources.accidents import raw_rows
-from asfalto.sources.csv_files import fitting, read_folder, write_folder
+from asfalto.sources.csv_files import read_folder, write_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -38,7 +37,7 @@ def landed(spark, sf_dir: str) -> str:
 
 def pipeline(spark, folder: str, timed) -> medallion.Lake:
     lake = medallion.Lake(spark, new_folder(spark, "bench-lake"))
-    timed("bronze_to_silver", lambda: medallion.build_silver(lake, fitting(read_folder(spark, folder))))
+    timed("bronze_to_silver", lambda: medallion.build_silver(lake, read_folder(spark, folder)))
     timed("dims", lambda: medallion.build_dims(lake))
     timed("facts", lambda: medallion.build_facts(lake))
     return lake

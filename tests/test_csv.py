@@ -3,6 +3,7 @@
 import pytest
 
 from asfalto import schemas as S
+from asfalto.plans import medallion
 from asfalto.sources import csv_files as C
 from asfalto.sources import landing
 from asfalto.streaming.landing_stream import take_new_files
@@ -129,3 +130,18 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 @pytest.mark.parametrize("text", ["a;b", "", "Ação;é"])
 def test_header_names(text):
     assert C._names(text + "\r") == tuple(text.split(";"))
+
+
+def test_pipeline_sets_long_rows_apart(spark, tmp_path):
+    source = tmp_path / "raw"
+    source.mkdir()
+    put(source, "af", [line(data="01/02/2020", trecho="BR-1/SP"), line(data="02/02/2020") + ";x"])
+    lake = medallion.Lake(spark, str(tmp_path / "lake"))
+    done = medallion.run(lake, C.read_folder(spark, str(source)))
+    assert all(w.complete for w in done.values())
+    silver = done[medallion.SILVER]
+    assert silver.written == 1 and silver.metrics["excedentes"] == 1 and silver.metrics["veredito"] == "ALERTA"
+    kept_out = spark.read.parquet(lake.path(medallion.QUARANTINE)).collect()
+    assert [(r["data"], r[C.EXTRA]) for r in kept_out] == [("02/02/2020", "x")]
+    fact = lake["gold_fato_acidente"].collect()
+    assert [(r["id_data"], r["ano"], r["id_rodovia"]) for r in fact] == [(20200201, 2020, 1)]
