@@ -34,23 +34,26 @@ def parse_count(text: Column) -> Column:
     return text.try_cast("int")
 
 
+def first_match(cases: list[tuple[Column, str]], default: str) -> Column:
+    """Label of the first condition that holds; a NULL condition does not."""
+    (condition, label), *rest = cases
+    chain = F.when(condition, label)
+    for condition, label in rest:
+        chain = chain.when(condition, label)
+    return chain.otherwise(default)
+
+
 def direction(text: Column) -> Column:
     word = F.upper(F.trim(text))
-    return (
-        F.when(word.isin(S.NORTH_WORDS), S.NORTH)
-        .when(word.isin(S.SOUTH_WORDS), S.SOUTH)
-        .otherwise(S.UNDEFINED)
-    )
+    words = {S.NORTH: S.NORTH_WORDS, S.SOUTH: S.SOUTH_WORDS}
+    return first_match([(word.isin(known), label) for label, known in words.items()], S.UNDEFINED)
 
 
 def occurrence(text: Column) -> Column:
     """The unhurt pattern is tried first; both may match anywhere in the text."""
-    lowered = F.lower(text)
-    return (
-        F.when(lowered.rlike(S.UNHURT_PATTERN), S.UNHURT)
-        .when(lowered.rlike(S.HURT_PATTERN), S.HURT)
-        .otherwise(S.UNDEFINED)
-    )
+    patterns = {S.UNHURT: S.UNHURT_PATTERN, S.HURT: S.HURT_PATTERN}
+    cases = [(F.lower(text).rlike(pattern), label) for label, pattern in patterns.items()]
+    return first_match(cases, S.UNDEFINED)
 
 
 def road(stretch: Column) -> Column:
@@ -69,10 +72,7 @@ def row_total(counts: list[Column]) -> Column:
 def severity(victims: dict[str, Column]) -> Column:
     """Worst outcome present; `victims` maps a victim column name to its parsed count."""
     worst_first = [(victims[name] > 0, label) for name, label in S.SEVERITY_LABELS.items()]
-    (condition, label), *rest = worst_first
-    return reduce(lambda case, level: case.when(*level), rest, F.when(condition, label)).otherwise(
-        S.NO_VICTIMS
-    )
+    return first_match(worst_first, S.NO_VICTIMS)
 
 
 def file_key(path: Column) -> Column:
