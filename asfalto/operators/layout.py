@@ -126,6 +126,7 @@ def compact(
     target: str,
     partitions: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
+    schema: T.StructType | None = None,
 ) -> Written:
     """Copy a table to a new path in files of about `target_bytes`."""
     own = spark.newSession()  # settings below must not leak into the caller's session
@@ -133,7 +134,7 @@ def compact(
     own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     own.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", str(target_bytes // 4))
-    frame = read_table(own, source)
+    frame = read_table(own, source, schema)
     spreading = frame if partitions else frame.hint("rebalance")
     return write_table(spreading, target, partitions=partitions)
 
@@ -167,6 +168,7 @@ def zorder(
     partitions: Sequence[str] = (),
     tie_break: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
+    schema: T.StructType | None = None,
 ) -> Written:
     """Copy a table to a new path with rows clustered along a Z-order curve.
 
@@ -175,7 +177,7 @@ def zorder(
     """
     _, stored = file_stats(spark, source)
     parts = max(1, math.ceil(stored / target_bytes))
-    placed = with_z(read_table(spark, source), columns)
+    placed = with_z(read_table(spark, source, schema), columns)
     ordered = placed.repartitionByRange(parts, *partitions, _Z, *tie_break).sortWithinPartitions(
         *partitions, _Z
     )
@@ -186,4 +188,5 @@ def zorder(
         .write.partitionBy(*partitions)
         .parquet(target)
     )
-    return Written(target, seen.get["_rows"], read_table(spark, target).count())
+    stored = read_table(spark, target, placed.drop(_Z).schema)
+    return Written(target, seen.get["_rows"], stored.count(), frame=stored)

@@ -132,7 +132,7 @@ def optimize(lake: Lake, root: str) -> dict[str, Written]:
         {
             table: lambda table=table: zorder(
                 lake.spark, lake.path(table), f"{root}/{table}", CLUSTERING[table],
-                partitions=["ano"], tie_break=["id_acidente"],
+                partitions=["ano"], tie_break=["id_acidente"], schema=S.TABLES[table][0],
             )
             for table in FACTS
         }

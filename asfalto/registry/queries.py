@@ -227,7 +227,7 @@ def compact(spark, sf_dir):
     lake = gold_lake(spark, sf_dir)
     small, target = new_folder(spark, "small-files"), new_folder(spark, "compacted")
     lake[_FACT].repartition(32).write.partitionBy("ano").parquet(small)
-    layout.compact(spark, small, target, partitions=["ano"])
+    layout.compact(spark, small, target, partitions=["ano"], schema=S.FATO_ACIDENTE)
     return _without_id(layout.read_table(spark, target, S.FATO_ACIDENTE))
 
 
@@ -235,7 +235,8 @@ def compact(spark, sf_dir):
 def zorder(spark, sf_dir):
     lake, target = gold_lake(spark, sf_dir), new_folder(spark, "zorder")
     layout.zorder(
-        spark, lake.path(_FACT), target, medallion.CLUSTERING[_FACT], ["ano"], ["id_acidente"]
+        spark, lake.path(_FACT), target, medallion.CLUSTERING[_FACT], ["ano"], ["id_acidente"],
+        schema=S.FATO_ACIDENTE,
     )
     return _without_id(layout.read_table(spark, target, S.FATO_ACIDENTE))
 
