@@ -4,9 +4,8 @@ A text becomes shares of byte-class pairs, taken as square roots, and a few rati
 distinct lines, lengths). A small network is fitted by minimising
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)),
 the non-negative form of the unbiased risk, with logistic loss, so its output is a probability.
-The prior is estimated first: a classifier of trusted against unlabelled texts reaches, on texts of the
-positive class, the share of them that is trusted, and its mean over unlabelled texts divided
-by that level is the share of positives there.
+The prior is estimated first, by a classifier of trusted against unlabelled texts: of two held-out
+shares above a threshold, unlabelled over trusted, the least over many thresholds is the prior.
 """
 
 from __future__ import annotations
@@ -131,13 +130,15 @@ def estimate_prior(trusted: np.ndarray, unlabelled: np.ndarray, seed: int = 0) -
         return -_sigmoid(-f_p) / (2 * len(f_p)), _sigmoid(f_u) / (2 * len(f_u))
 
     model = _fit(trusted[:half_p], unlabelled[:half_u], slope, 300, seed)
-    # the odds of being trusted, which are in proportion to the density ratio; on positives they are flat
-    ratio_p = np.exp(np.clip(model.logits(trusted[half_p:]), -10, 3))
-    ratio_u = np.exp(np.clip(model.logits(unlabelled[half_u:]), -10, 3))
-    return float(np.clip(ratio_u.mean() / max(1e-9, ratio_p.mean()), 0.05, 0.95))
+    held_p, held_u = np.sort(model.logits(trusted[half_p:])), np.sort(model.logits(unlabelled[half_u:]))
+    # above any threshold lies at least the prior's share of what lies there of the positives
+    at = held_p[(np.linspace(0.01, 0.8, 80) * len(held_p)).astype(int)]
+    above_p = 1 - np.searchsorted(held_p, at) / len(held_p)
+    above_u = 1 - np.searchsorted(held_u, at) / len(held_u)
+    return float(np.clip((above_u / above_p).min(), 0.05, 0.95))
 
 
-def fit(trusted: np.ndarray, unlabelled: np.ndarray, steps: int = 700, seed: int = 0) -> Model | None:
+def fit(trusted: np.ndarray, unlabelled: np.ndarray, steps: int = 1000, seed: int = 0) -> Model | None:
     """Minimise the non-negative risk; None where either kind of text is missing."""
     if not len(trusted) or not len(unlabelled):
         return None
