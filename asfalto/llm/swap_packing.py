@@ -197,7 +197,7 @@ def pack_documents(
         packed = frame.iloc[order].reset_index(drop=True)
         ends = packed["length"].cumsum()
         before = (ends - packed["length"]).groupby(number).transform("min")
-        packed["sequence_id"] = (packed["_group"].astype("int64") << 32) + number
+        packed["sequence_id"] = packed["_group"].astype("int64") * (1 << 32) + number
         packed["offset"] = ends - packed["length"] - before
         return packed.drop(columns=["_group"])
 
