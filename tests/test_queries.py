@@ -5,12 +5,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from asfalto.registry.oracles import ORACLES as SQL
+from asfalto.registry.queries import QUERIES
 from tests.conftest import SMALL
 from tools.check_oracles import compare
 
-SQL = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def tables():
@@ -21,12 +21,12 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, tables, name):
-    assert compare(queries()[name](spark, SMALL), tables, SQL[name]).startswith("ok")
+    assert compare(QUERIES[name](spark, SMALL), tables, SQL[name]).startswith("ok")
 
 
 def test_entry(spark):
