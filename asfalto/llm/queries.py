@@ -125,7 +125,7 @@ WITH RECURSIVE words AS (
 df AS (SELECT g, count(*) AS n FROM tf GROUP BY g),
 total AS (SELECT greatest(2, count(*)) AS n FROM documents),
 weighted AS (
-    SELECT doc_id, tf.g, tf.n * (1 + ln(total.n / df.n) / ln(total.n)) AS x, df.n AS df
+    SELECT doc_id, tf.g, tf.n * (1 + 0.1 * ln(total.n / df.n) / ln(total.n)) AS x, df.n AS df
     FROM tf JOIN df USING (g), total
 ), whole AS (SELECT doc_id, sum(x) AS x FROM weighted GROUP BY doc_id),
 common AS (
