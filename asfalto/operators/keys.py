@@ -5,42 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asfalto.operators.layout import stage, stage_counted
-
-# Members numbered by one sorted task at most; above this the sort is spread over the cluster.
-ONE_TASK_ROWS = 500_000
+from asfalto.operators.layout import stage
 
 _POSITION, _BLOCK = "_position", "_block"
 _BLOCK_SHIFT = 33  # monotonically_increasing_id keeps the partition above its low 33 bits
 
 
-def surrogate_key(
-    members: DataFrame, order: list[str], name: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Number distinct members 1..n in key order.
-
-    The members are written once to the shared folder, so that counting and numbering do
-    not derive them twice and every number comes from the same stored rows.
-    """
-    stored, rows = stage_counted(members.select(*order), f"members-{name}")
-    if rows <= one_task_rows:
-        return _number_in_one_task(stored, order, name)
-    return number_by_blocks(stored, order, name)
-
-
-def _number_in_one_task(members: DataFrame, order: list[str], name: str) -> DataFrame:
-    return members.select(F.row_number().over(Window.orderBy(*order)).alias(name), *order)
-
-
-def number_by_blocks(members: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Same numbers as one global sort, from range partitions sorted side by side.
+def surrogate_key(members: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Number distinct members 1..n in key order, from range partitions sorted side by side.
 
     Each row stores its partition and its place in it; a partition starts after the rows of
     the partitions before it. Storing them first matters: a range partitioning that is
     computed again may cut elsewhere.
     """
+    # written first, so that sampling the ranges does not derive the members again
+    stored = stage(members.select(*order), f"members-{name}")
     placed = stage(
-        members.repartitionByRange(*order)
+        stored.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(*order, F.monotonically_increasing_id().alias(_POSITION)),
         f"blocks-{name}",

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,7 +80,7 @@ def write_table(
     is run again after a lost executor would be counted twice.
     """
     spark = df.sparkSession
-    before = read_table(spark, path).count() if mode == "append" and _has_data(spark, path) else 0
+    before = read_table(spark, path).count() if mode == "append" and has_data(spark, path) else 0
     seen = Observation()
     observed = spread(df, partitions).observe(
         seen,
@@ -103,11 +104,11 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
+def has_data(spark: SparkSession, path: str) -> bool:
     try:
         return bool(_files(spark, path).take(1))
-    except Exception as error:  # the path does not exist yet
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from asfalto import schemas as S
-from asfalto.operators.layout import Written, read_table, write_table, zorder
+from asfalto.operators.layout import has_data, read_table, write_table, Written, zorder
 from asfalto.operators.quality import gate_metrics, verdict
 from asfalto.plans import dims as D
 from asfalto.plans import facts
@@ -97,6 +97,9 @@ def build_silver(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> Written
     if marked and seen.get["excedentes"]:
         kept_out = write_table(surplus(raw), lake.path(QUARANTINE), mode=mode)
         written.metrics["excedentes"] = kept_out.written
+    elif marked and mode == "overwrite" and has_data(lake.spark, lake.path(QUARANTINE)):
+        # rows that an earlier run set apart are not this run's
+        write_table(surplus(raw).limit(0), lake.path(QUARANTINE), mode=mode)
     written.metrics["veredito"] = verdict(written.metrics)
     return written
 

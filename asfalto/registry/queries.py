@@ -53,7 +53,7 @@ def _named_by_file(raw: DataFrame) -> DataFrame:
 
 @query
 def bronze_scan(spark, sf_dir):
-    scanned = csv_files.scan(spark, _landed_csv(spark, sf_dir) + "/*", multi_line=True)
+    scanned = csv_files.scan(spark, _landed_csv(spark, sf_dir) + "/*")
     return _named_by_file(csv_files.fitting(scanned))
 
 
@@ -65,11 +65,13 @@ def file_provenance(spark, sf_dir):
 
 @query
 def bronze_union(spark, sf_dir):
-    """Files of two operators groups whose columns come in opposite orders."""
+    """Files of two groups of operators: opposite column orders, and headers in another case."""
     folder, raw = new_folder(spark, "csv-two-orders"), raw_rows(spark, sf_dir)
     early = F.col(S.FILE_COLUMN) < "Files/bronze/acidentes/demostrativo_acidentes_n"
     csv_files.write_folder(raw.filter(early), folder)
-    csv_files.write_folder(raw.filter(~early), folder, columns=S.RAW_COLUMNS[::-1])
+    turned = [c.capitalize() for c in S.RAW_COLUMNS[::-1]]
+    renamed = raw.filter(~early).withColumnsRenamed({c.lower(): c for c in turned})
+    csv_files.write_folder(renamed, folder, columns=turned)
     return _named_by_file(csv_files.fitting(csv_files.read_folder(spark, folder)))
 
 
@@ -123,31 +125,11 @@ def landing_manifest(spark, sf_dir):
     return landing.manifest(landing.catalogue(spark), found)
 
 
-@query
-def landing_manifest_forced(spark, sf_dir):
-    found = landing.landed(spark, _landed_csv(spark, sf_dir))
-    return landing.manifest(landing.catalogue(spark), found, force=True)
-
-
 @query
 def landing_report(spark, sf_dir):
-    """A run log drawn from the raw rows: sizes are the text of the rows, one second per MB."""
-    raw = raw_rows(spark, sf_dir)
-    size = F.octet_length(F.concat_ws(";", *[F.coalesce(F.col(c), F.lit("")) for c in S.RAW_COLUMNS]))
-    per_file = raw.groupBy(rows.file_name(F.col(S.FILE_COLUMN)).alias("filename")).agg(
-        F.sum(size).alias("bytes")
-    )
-    known = landing.catalogue(spark).join(per_file, "filename", "full_outer")
-    kb = F.coalesce(F.round(F.col("bytes") / 1024, 1), F.lit(0.0))
-    status = (
-        F.when(F.col("bytes").isNull(), landing.PENDING)
-        .when(F.col("concessionaria").isNull(), landing.FAILED)
-        .otherwise(landing.DONE)
-    )
-    log = known.select(
-        "filename", status.alias("status"), kb.alias("kb"), F.round(kb / 1024, 1).alias("segundos")
-    )
-    return landing.report(log)
+    """Counts by status of the landed files; their sizes depend on the CSV writer and are left out."""
+    found = landing.landed(spark, _landed_csv(spark, sf_dir))
+    return landing.report(landing.catalogue(spark), found).drop("total_mb")
 
 
 @query
@@ -500,7 +482,7 @@ def dim_tipo_vitima(spark, sf_dir):
 def surrogate_key(spark, sf_dir):
     """Two sort keys, numbered by range partitions rather than in one sorted task."""
     stretches = dims.members(silver_lake(spark, sf_dir)[_SILVER], ["data", "rodovia"])
-    return keys.number_by_blocks(stretches, ["rodovia", "data"], "id_trecho_dia")
+    return keys.surrogate_key(stretches, ["rodovia", "data"], "id_trecho_dia")
 
 
 # --- joins -----------------------------------------------------------------------------

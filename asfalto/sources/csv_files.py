@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,6 @@ from asfalto.session import prepare
 
 SEPARATOR, QUOTE, CHARSET = ";", '"', "windows-1252"
 EXTRA = "_extra"
-ONE_TASK_BYTES = 256 * 1024 * 1024
 _TEXT = T.StringType()
 
 
@@ -28,7 +27,7 @@ def scan(
     paths: str | Sequence[str],
     columns: Sequence[str] = S.RAW_COLUMNS,
     header: bool = True,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Rows of files that share one column order, all text, plus the file each came from.
 
@@ -75,7 +74,6 @@ def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .select(
             F.col("value"),
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("bytes"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("place"),
         )
@@ -83,104 +81,45 @@ def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def describe_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, bytes, header, multi_line) per file, from one pass over the lines as text.
+    """(file, header, multi_line) per file, from one pass over the lines as text.
 
     A quoted line break leaves its line with an odd number of quotes. The header is the first
     line of the block that starts a file: a block's lines are read in order by one task.
     """
     first_line = F.when(F.col("block") == 0, F.struct("place", "value"))
     return _lines(spark, path).groupBy("file").agg(
-        F.max("bytes").alias("bytes"),
         F.min(first_line)["value"].alias("header"),
         F.bool_or(_odd_quotes(F.col("value"))).alias("multi_line"),
     )
 
 
-def scan_split(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] = S.RAW_COLUMNS
-) -> DataFrame:
-    """Same rows as a multi-line `scan` of files with a header, without one task per file.
-
-    Lines are put together to records by quote parity. Within a block (the part of a file
-    that one task reads) the parity before each line is a running sum; how a block begins
-    follows from the totals of the blocks before it, one row each. Lines that are whole records,
-    almost all, are parsed as they are; only the pieces of broken ones are grouped.
-    """
-    prepare(spark)
-    block = ["file", "block"]
-    before = Window.partitionBy(*block).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    until_here = before.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = _lines(spark, paths).withColumn("odd", _odd_quotes(F.col("value")).cast("int"))
-    lines = lines.withColumn("parity", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
-
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        lines.groupBy(*block)
-        .agg(
-            F.sum("odd").alias("odds"),
-            F.min("place").alias("first"),
-            F.max(F.when(F.col("parity") == 0, F.col("place"))).alias("last_if_closed"),
-            F.max(F.when(F.col("parity") == 1, F.col("place"))).alias("last_if_open"),
-        )
-        .withColumn("entry", F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2)
-        .withColumn("last", F.when(F.col("entry") == 0, F.col("last_if_closed")).otherwise(F.col("last_if_open")))
-        .select(*block, "entry", "first", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    )
-    placed = (
-        lines.join(blocks, block)
-        .filter((F.col("block") > 0) | (F.col("place") > F.col("first")))  # the header
-        .withColumn("begins", (F.col("entry") + F.col("parity")) % 2 == 0)
-    )
-    start = F.last(F.when(F.col("begins"), F.col("place")), ignorenulls=True).over(until_here)
-    broken = (
-        placed.filter(~F.col("begins") | (F.col("odd") == 1))
-        .withColumn("start", F.coalesce(start, F.col("carried")))
-        .groupBy("file", "start")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("pieces"))
-        .select("file", F.concat_ws("\n", F.col("pieces.value")).alias("value"))
-    )
-    whole = placed.filter(F.col("begins") & (F.col("odd") == 0)).select("file", "value")
-    text = F.decode(F.col("value").cast("binary"), CHARSET)
-    layout = _text_schema([*columns, EXTRA]).simpleString().removeprefix("struct<").removesuffix(">")
-    fields = F.from_csv(text, layout.replace(":", " "), {"sep": SEPARATOR, "quote": QUOTE})
-    return whole.unionByName(broken).select(fields.alias("_fields"), "file").select(
-        "_fields.*", F.col("file").alias(S.FILE_COLUMN)
-    )
-
-
 def _names(header: str) -> tuple[str, ...]:
-    return tuple(name.strip(QUOTE) for name in header.strip("\r\ufeff").split(SEPARATOR))
+    """Column names as the rules know them: trimmed, in lower case."""
+    return tuple(
+        name.strip().strip(QUOTE).strip().lower() for name in header.strip("\r\ufeff").split(SEPARATOR)
+    )
 
 
-def read_folder(spark: SparkSession, path: str, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
-    """Every CSV file below a folder, with columns aligned by name.
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Every CSV file below a folder, with columns aligned by name, whatever their case.
 
-    Files are grouped by header and by how they must be read, with one scan per group: files
-    without quoted line breaks are split by Spark, small ones with such breaks are read whole,
-    large ones through `scan_split`. What comes to the driver is the file list, which
-    any scan needs there anyway.
+    Files are grouped by header and by content: those without quoted line breaks are split by Spark,
+    the others are read whole, at any size. A file that lacks a column is an error. What comes to
+    the driver is the file list, which any scan needs there anyway.
     """
     groups: dict[tuple, list[str]] = {}
     for row in describe_files(spark, path).toLocalIterator():
-        names = _names(row["header"] or "")
-        way = "plain" if not row["multi_line"] else "whole"
-        if row["multi_line"] and row["bytes"] > one_task_bytes:
-            way = "split"
-        groups.setdefault((names, way), []).append(unquote(row["file"]))
+        names, file = _names(row["header"] or ""), unquote(row["file"])
+        if missing := [c for c in S.RAW_COLUMNS if c not in names]:
+            raise ValueError(f"{file} has no column {', '.join(missing)}")
+        groups.setdefault((names, row["multi_line"]), []).append(file)
     if not groups:
         raise FileNotFoundError(f"no CSV file below {path}")
-    scans = []
-    for (names, way), files in sorted(groups.items()):
-        if way == "split":
-            rows = scan_split(spark, sorted(files), names)
-        else:
-            rows = scan(spark, sorted(files), names, multi_line=way == "whole")
-        known = [c for c in S.RAW_COLUMNS if c in names]
-        scans.append(rows.select(*known, EXTRA, S.FILE_COLUMN))
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    absent = [c for c in S.RAW_COLUMNS if c not in together.columns]
-    filled = together.withColumns({c: F.lit(None).cast(_TEXT) for c in absent})
-    return filled.select(*S.RAW_COLUMNS, EXTRA, S.FILE_COLUMN)
+    scans = [
+        scan(spark, sorted(files), names, multi_line=multi_line).select(*S.RAW_COLUMNS, EXTRA, S.FILE_COLUMN)
+        for (names, multi_line), files in sorted(groups.items())
+    ]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def write_folder(raw: DataFrame, path: str, columns: Sequence[str] = S.RAW_COLUMNS) -> None:

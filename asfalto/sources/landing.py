@@ -10,7 +10,6 @@ from asfalto.functions.inline import relation
 from asfalto.functions.rows import file_name
 
 LANDED, PENDING, FAILED = "skip", "pendente", "erro"
-DONE = "ok"
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
@@ -44,15 +43,18 @@ def manifest(catalogued: DataFrame, found: DataFrame, force: bool = False) -> Da
     )
 
 
-def report(log: DataFrame) -> DataFrame:
-    """Files, MB and seconds per status of a run log (status, filename, kb, segundos).
+def report(catalogued: DataFrame, found: DataFrame) -> DataFrame:
+    """Files and MB per status, from the listing; a landed file that no source is known for is an error.
 
-    Failed files are listed by name: the report is about as many files as the catalogue has.
+    Such files are listed by name, which somebody has to read.
     """
-    return log.groupBy("status").agg(
+    known = catalogued.select("filename", "concessionaria").join(found, "filename", "full_outer")
+    status = (
+        F.when(F.col("concessionaria").isNull(), FAILED).when(F.col("bytes").isNull(), PENDING).otherwise(LANDED)
+    )
+    return known.withColumn("status", status).groupBy("status").agg(
         F.count(F.lit(1)).alias("arquivos"),
-        F.round(F.sum("kb") / 1024, 1).alias("total_mb"),
-        F.round(F.sum("segundos"), 1).alias("total_segundos"),
+        F.round(F.coalesce(F.sum("bytes"), F.lit(0)) / 1024**2, 1).alias("total_mb"),
         F.concat_ws(
             ", ", F.sort_array(F.collect_list(F.when(F.col("status") == FAILED, F.col("filename"))))
         ).alias("com_erro"),

@@ -14,8 +14,9 @@ from asfalto.sources.csv_files import CHARSET, QUOTE, SEPARATOR
 def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: str) -> None:
     """Append the rows of new CSV files below `source` to the Parquet table `target`.
 
-    The checkpoint remembers the files taken; there is no other state. All files must have the
-    declared column order, and each is read by one task, as multi-line fields demand.
+    The checkpoint remembers the files taken; there is no other state. A file whose header
+    names other columns, or in another order, makes the run fail before any of its rows is taken. Each file is
+    read by one task, as multi-line fields demand.
     """
     prepare(spark)
     schema = T.StructType(S.RAW.fields)
@@ -23,6 +24,7 @@ def take_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
         spark.readStream.schema(schema)
         .option("delimiter", SEPARATOR)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("encoding", CHARSET)
         .option("quote", QUOTE)
         .option("multiLine", True)

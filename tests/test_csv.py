@@ -55,37 +55,26 @@ def test_files_are_aligned_by_column_name(spark, tmp_path):
     put(tmp_path, "af", [line(km="1,5", mortos="2")])
     turned = NAMES[::-1]
     put(tmp_path, "als", [";".join({"km": "2,5", "mortos": "3"}.get(c, "0") for c in turned)], turned)
-    fewer = [c for c in NAMES if c != "sentido"]
-    put(tmp_path, "aps", [";".join({"km": "3,5", "mortos": "4"}.get(c, "0") for c in fewer)], fewer)
+    shouted = [c.upper() for c in NAMES]
+    put(tmp_path, "aps", [line(km="3,5", mortos="4", sentido="N")], shouted)
     put(tmp_path, "arb", [])  # header only
     got = C.fitting(C.read_folder(spark, str(tmp_path))).select("km", "mortos", "sentido")
-    assert rows_of(got) == [("1,5", "2", "0"), ("2,5", "3", "0"), ("3,5", "4", None)]
-
-
-def test_reading_in_parts_gives_the_rows_of_a_whole_read(spark, tmp_path):
-    body = []
-    for i in range(400):
-        note = f'"nota {i}\nsegue; {i}\n\nfim"' if i % 7 == 0 else f"nota {i}"
-        if i % 50 == 0:
-            note = '"' + "\n".join(f"linha {k} com ação" for k in range(60)) + '"'
-        body.append(line(data=str(i), tipo_de_acidente=note))
-    body.append(line(data="400") + ";x")
-    put(tmp_path, "af", body)
-    put(tmp_path, "als", [line(data="só", tipo_de_acidente='"a\nb"')])
-    columns = [*NAMES, C.EXTRA]
-    whole = C.scan(spark, str(tmp_path), multi_line=True).select(*columns)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # many blocks per file
-    try:
-        assert C._lines(spark, str(tmp_path)).select("block").distinct().count() > 5
-        parts = C.scan_split(spark, str(tmp_path)).select(*columns)
-        chosen = C.read_folder(spark, str(tmp_path), one_task_bytes=1000).select(*columns)
-        expected, got, other = rows_of(whole), rows_of(parts), rows_of(chosen)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert len(expected) == 402
-    assert got == expected
-    assert other == expected
+    assert rows_of(got) == [("1,5", "2", "0"), ("2,5", "3", "0"), ("3,5", "4", "N")]
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    put(tmp_path, "af", ["1"], NAMES[1:])
+    with pytest.raises(ValueError, match="af.csv has no column data"):
+        C.read_folder(spark, str(tmp_path))
+
+
+def test_odd_quotes_and_blank_lines_lose_no_row(spark, tmp_path):
+    notes = ["um", 'poste 5" caido', "tres", '"a\nb"', '"c\\"d"', "seis", "sete"]
+    put(tmp_path, "af", [x for k, n in enumerate(notes) for x in (line(data=str(k), tipo_de_acidente=n), "")])
+    got = C.fitting(C.read_folder(spark, str(tmp_path))).where("mortos is not null")
+    assert {r["data"]: r["tipo_de_acidente"] for r in got.collect()} == {
+        "0": "um", "1": 'poste 5" caido', "2": "tres", "3": "a\nb", "4": 'c"d', "5": "seis", "6": "sete",
+    }
 
 
 def test_files_without_line_breaks_are_not_read_whole(spark, tmp_path):
@@ -107,6 +96,9 @@ def test_manifest_and_sizes(spark, tmp_path):
     assert status[NAME.format("aps")] == "pendente"
     forced = landing.manifest(landing.catalogue(spark), found, force=True)
     assert {r["status"] for r in forced.collect()} == {"pendente"}
+    report = {r["status"]: r for r in landing.report(landing.catalogue(spark), found).collect()}
+    assert report["erro"]["com_erro"] == NAME.format("novanova") and report["skip"]["arquivos"] == 1
+    assert report["pendente"]["arquivos"] == 34
     names = [r["filename"] for r in landing.sizes(found).collect()]
     assert names == sorted(names)
 
@@ -127,9 +119,41 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert taken.select(S.FILE_COLUMN).distinct().count() == 2
 
 
-@pytest.mark.parametrize("text", ["a;b", "", "Ação;é"])
+@pytest.mark.parametrize("text", ["a;b", "", "Ação; É"])
 def test_header_names(text):
-    assert C._names(text + "\r") == tuple(text.split(";"))
+    assert C._names(text + "\r") == tuple(n.strip().lower() for n in text.split(";"))
+
+
+def test_stream_refuses_another_column_order(spark, tmp_path):
+    source, target, mark = (tmp_path / n for n in ("in", "out", "mark"))
+    source.mkdir()
+    put(source, "af", [line()], NAMES[::-1])
+    with pytest.raises(Exception):
+        take_new_files(spark, str(source), str(target), str(mark))
+    assert not list(target.glob("*.parquet"))
+
+
+def test_a_clean_run_clears_the_quarantine(spark, tmp_path):
+    lake = medallion.Lake(spark, str(tmp_path / "lake"))
+    for name, tail in (("one", ";x"), ("two", "")):
+        source = tmp_path / name
+        source.mkdir()
+        put(source, "af", [line(data="01/02/2020", trecho="BR-1/SP"), line(data="02/02/2020") + tail])
+        medallion.build_silver(lake, C.read_folder(spark, str(source)))
+        assert spark.read.parquet(lake.path(medallion.QUARANTINE)).count() == bool(tail)
+
+
+def test_exit_status(spark, tmp_path, monkeypatch):
+    from asfalto import __main__ as command
+
+    monkeypatch.setattr(command, "session", lambda: spark)
+    (tmp_path / "raw").mkdir()
+    put(tmp_path / "raw", "af", [line(data="no date")])
+    run = ["--raw", str(tmp_path / "raw"), "--root", str(tmp_path / "lake")]
+    assert command.main(run) == command.BROKEN
+    assert not (tmp_path / "lake" / "gold_dim_data").exists()
+    put(tmp_path / "raw", "af", [line(data="01/02/2020", trecho="BR-1/SP")])
+    assert command.main(run) == 0
 
 
 def test_pipeline_sets_long_rows_apart(spark, tmp_path):
