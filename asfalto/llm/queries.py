@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asfalto.llm import (
-    direct_codes, itq, kmeans_tree, kneser_ney, prefix_bpe, quality_pu, secret_cnn, swap_packing,
-    tag_paths, weighted_minhash,
+    direct_codes, itq, kmeans_tree, kneser_ney, line_rules, prefix_bpe, quality_pu, secret_cnn, span_links,
+    swap_packing, tag_paths, weighted_minhash, zone_blocks,
 )
 from asfalto.session import new_folder
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+ALIGNED_VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,11 +84,26 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judged(_table(spark, sf_dir, "documents")).drop("lost_chars")
+
+
+def op12_zone_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return zone_blocks.mine(_table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
+def op13_span_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_links.aligned(_table(spark, sf_dir, "documents"), *map(_vocabulary, ALIGNED_VOCABULARIES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_kmeans_tree, op3_kneser_ney, op4_tag_paths, op5_itq, op6_swap_packing,
-        op7_weighted_minhash, op8_secret_cnn, op9_quality_pu, op10_prefix_bpe,
+        op7_weighted_minhash, op8_secret_cnn, op9_quality_pu, op10_prefix_bpe, op11_line_rules, op12_zone_blocks,
+        op13_span_links,
     )
 }
 
@@ -143,5 +159,68 @@ common AS (
 ), least AS (SELECT doc_id, min(other) AS m FROM reached GROUP BY doc_id)
 SELECT d.doc_id, least(d.doc_id, coalesce(m, d.doc_id)) AS class_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
 FROM documents d LEFT JOIN least USING (doc_id)
+""",
+    "op11_line_rules": rf"""
+WITH t AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT n, regexp_extract_all(text, '{line_rules.WORD}') AS w FROM t),
+windows AS (
+    SELECT n, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+    FROM (SELECT n, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) > 2)
+), again AS (SELECT n, i, count(*) OVER (PARTITION BY n, a, b, c) AS k FROM windows),
+repeated AS (
+    SELECT n, count(DISTINCT place) AS repeated
+    FROM (SELECT n, unnest([i, i + 1, i + 2]) AS place FROM again WHERE k > 1) GROUP BY n
+), lines AS (
+    SELECT n, line, len(regexp_extract_all(line, '{line_rules.WORD}')) AS k,
+           length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+    FROM (SELECT n, unnest(string_split(text, chr(10))) AS line FROM t)
+), rules AS (
+    SELECT n, line, k, chars,
+           len(regexp_extract_all(line, '{line_rules.SEPARATORS}')) * 8 >= k
+           OR len(regexp_extract_all(line, '{line_rules.MARKS}')) * 5 > k
+           OR len(regexp_extract_all(line, '{line_rules.CRIES}')) * 5 > k
+           OR (k < {line_rules.PHRASE_LINE} AND regexp_matches(lower(line), '{line_rules.PHRASES}'))
+           OR (k < {line_rules.SHORT_LINE} AND NOT contains('{line_rules.ENDS}',
+               regexp_extract(line, '(.)[\x20\x09-\x0D"''”’»)\]]*\z', 1, 's'))) AS fails
+    FROM lines WHERE k > 0
+), sums AS (
+    SELECT n, sum(k) AS n_words, sum(chars) AS word_chars, count(*) - count(DISTINCT line) AS n_dup_lines,
+           sum(CASE WHEN fails THEN 0 ELSE k END) AS left_words,
+           sum(CASE WHEN fails THEN 0 ELSE chars END) AS left_chars
+    FROM rules GROUP BY n
+), whole AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(repeated, 0) AS n_repeat_words, coalesce(left_words, 0) AS left_words,
+           coalesce(left_chars, 0) AS left_chars
+    FROM t LEFT JOIN sums USING (n) LEFT JOIN repeated USING (n)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND left_words >= 50
+       AND word_chars - left_chars <= CAST({line_rules.MOST_LOST} AS DOUBLE) * word_chars AS kept
+FROM whole
+""",
+    "op12_zone_blocks": """
+WITH v AS (
+    SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.n, a.vec_id AS anchor_id, b.n AS m, b.vec_id, a.label = b.label AS alike,
+           CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.n <> b.n WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM pairs WHERE alike QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id, m) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.n, p.m ORDER BY q.score DESC, q.vec_id, q.m) AS INTEGER) AS rank,
+       q.vec_id AS negative_id, p.score AS positive_score, q.score AS negative_score
+FROM positives p JOIN pairs q ON p.n = q.n AND NOT q.alike AND 30 * p.score <= 100 * q.score AND 100 * q.score <= 90 * p.score
+QUALIFY rank <= 10
 """,
 }
