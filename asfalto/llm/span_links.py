@@ -138,7 +138,7 @@ def group_texts(a_side: Side, b_side: Side, a: pd.DataFrame, b: pd.DataFrame, co
     both[0::2], both[1::2] = ids[order], marks[order]
     tokens = np.bincount(np.concatenate([a["doc"], b["doc"]]), minlength=count)
     ends = 2 * np.cumsum(tokens)
-    return groups, ["".join(both[e - 2 * n : e - 1]) for e, n in zip(ends, tokens)]
+    return groups, ["".join(both[e - 2 * n : max(0, e - 1)]) for e, n in zip(ends, tokens)]
 
 
 @dataclass
