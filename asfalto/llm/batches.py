@@ -9,6 +9,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PART_BYTES = 8 << 20
+# What Spark hands to a Python worker at once; by default 10,000 whole texts of any size.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(PART_BYTES),
+}
+
+
+def bound_batches(spark) -> None:
+    """Bound the Arrow batches of this session, whose tasks hold them in the JVM and in Python."""
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
 
 
 def text_parts(
@@ -26,6 +37,8 @@ def text_parts(
             last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(first, last - first)
             first = last
+        # the pool would keep what the largest part took, beside what other operators of this worker hold
+        pa.default_memory_pool().release_unused()
 
 
 def texts_of(part: pa.RecordBatch, column: str = "text") -> pa.Array:
@@ -55,3 +68,11 @@ def crc32_mod(column, divisor: int):
     from pyspark.sql import functions as F
 
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def free_name(wanted: str, taken: list[str]) -> str:
+    """`wanted`, with underscores before it until no column has that name, whatever its case."""
+    lower = {c.lower() for c in taken}
+    while wanted.lower() in lower:
+        wanted = f"_{wanted}"
+    return wanted

@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asfalto.llm.batches import free_name
+
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5  # of the words, those in three-word windows that occur twice or more
 MOST_LOST = 0.3  # of the word characters, those in lines that fail
@@ -165,7 +167,7 @@ def clean(docs: DataFrame, most_lost: float = MOST_LOST, least_words: int = LEAS
     """Documents that pass, all columns as they are but `text`, which loses the lines that fail."""
     text = F.coalesce(F.col("text"), F.lit(""))
     # the measures are taken of the text as it came, so they stand below the change of it
-    name = next(f"_m{k}" for k in range(len(docs.columns) + 1) if f"_m{k}" not in {c.lower() for c in docs.columns})
+    name = free_name("_measures", docs.columns)
     measured = docs.withColumn(name, measures(F.col("text")))
     m = F.col(name)
     lost = m["word_chars"] - m["left"]["chars"]

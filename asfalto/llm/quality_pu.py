@@ -25,6 +25,7 @@ from asfalto.llm.batches import crc32_mod, split_words, text_parts, texts_of
 TRUSTED_TEXTS = 4_000
 UNLABELLED_TEXTS = 8_000
 THRESHOLD = 0.3
+PRIOR = 0.5  # taken where there are too few texts to estimate one
 
 _GROUPS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n", "\t\r\v\f",
            ".", ",", "!", "?;:", "\"'`", "()[]{}", "|", "#", "$", "%", "&", "*", "@", "/\\", "-_", "=+<>", "^~")
@@ -123,7 +124,12 @@ def _fit(trusted, unlabelled, slope, steps: int, seed: int, units: int = 16) ->
 
 
 def estimate_prior(trusted: np.ndarray, unlabelled: np.ndarray, seed: int = 0) -> float:
-    """Share of positives among the unlabelled, at least 0.05 and at most 0.95."""
+    """Share of positives among the unlabelled, at least 0.05 and at most 0.95.
+
+    PRIOR where either kind has less than two texts: one half is held out.
+    """
+    if min(len(trusted), len(unlabelled)) < 2:
+        return PRIOR
     half_p, half_u = len(trusted) // 2, len(unlabelled) // 2
 
     def slope(f_p, f_u):  # plain logistic risk, both kinds with equal weight

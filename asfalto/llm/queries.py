@@ -11,6 +11,7 @@ from asfalto.llm import (
     direct_codes, itq, kmeans_tree, kneser_ney, line_rules, prefix_bpe, quality_pu, secret_cnn, span_links,
     swap_packing, tag_paths, weighted_minhash, zone_blocks,
 )
+from asfalto.llm.batches import bound_batches
 from asfalto.session import new_folder
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -19,6 +20,7 @@ ALIGNED_VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

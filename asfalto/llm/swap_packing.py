@@ -14,7 +14,6 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -190,19 +189,22 @@ def pack_documents(
         (-F.col("_n") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        bins = pack_group(frame["length"].to_numpy(), capacity)
-        order = np.fromiter((i for b in bins for i in b), np.int64, len(frame))
-        number = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
-        packed = frame.iloc[order].reset_index(drop=True)
-        ends = packed["length"].cumsum()
-        before = (ends - packed["length"]).groupby(number).transform("min")
-        packed["sequence_id"] = packed["_group"].astype("int64") * (1 << 32) + number
-        packed["offset"] = ends - packed["length"] - before
-        return packed.drop(columns=["_group"])
+    def pack(group: pa.Table) -> pa.Table:
+        lengths = group["length"].to_numpy()
+        bins = pack_group(lengths, capacity)
+        order = np.fromiter((i for b in bins for i in b), np.int64, len(lengths))
+        sizes = np.array([len(b) for b in bins])
+        number = np.repeat(np.arange(len(bins)), sizes)
+        before = np.cumsum(lengths[order]) - lengths[order]
+        first = before[np.cumsum(sizes) - sizes]
+        sequence = group["_group"][0].as_py() * (1 << 32) + number
+        # ids stay in Arrow: a null among them would make numpy turn the others into doubles
+        packed = group.drop_columns(["_group"]).take(order)
+        return packed.append_column("sequence_id", pa.array(sequence)).append_column(
+            "offset", pa.array(before - first[number]))
 
     schema = (
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
     rest = dealt.where(F.col("length") < capacity).drop("_n")
-    return alone.unionByName(rest.groupBy("_group").applyInPandas(pack, schema))
+    return alone.unionByName(rest.groupBy("_group").applyInArrow(pack, schema))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asfalto.llm import sorted_hash as H
-from asfalto.llm.batches import split_words, text_parts, texts_of
+from asfalto.llm.batches import free_name, split_words, text_parts, texts_of
 from asfalto.llm.components import components
 from asfalto.operators.layout import stage
 from asfalto.session import new_folder
@@ -468,11 +468,12 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Of rows that repeat a kept doc_id one stays. Rows with a null doc_id stay.
     """
+    name = free_name("_kept_id", docs.columns)
     kept = classes(docs, **options).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("_kept_id")
+        F.col("doc_id").alias(name)
     ).distinct()
     named = docs.where(F.col("doc_id").isNotNull())
-    same = F.col("doc_id").cast("long") == F.col("_kept_id")
+    same = F.col("doc_id").cast("long") == F.col(name)
     return named.join(kept, same, "left_semi").dropDuplicates(["doc_id"]).unionByName(
         docs.where(F.col("doc_id").isNull())
     )

@@ -28,7 +28,8 @@ class WordCodec:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._special = [t.content for t in added if t.special]
         # kept: a fetched component is a handle of its own
         self._model = self._tokenizer.model
         self._normalizer = self._tokenizer.normalizer
@@ -74,7 +75,24 @@ class WordCodec:
         self._words.update(zip(words, range(first, first + len(words))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, offsets): text i has ids[offsets[i]:offsets[i + 1]]."""
+        """(ids of all texts in a row, offsets): text i has ids[offsets[i]:offsets[i + 1]].
+
+        Texts that hold the string of a special token go to the library whole, which cuts them at it.
+        """
+        marked = np.zeros(len(texts), bool)
+        for string in self._special:
+            marked |= pc.match_substring(texts, string).to_numpy(False)
+        if not marked.any():
+            return self._encode_words(texts)
+        ids, offsets = self._encode_words(pc.if_else(pa.array(marked), "", texts))
+        parts, last, sizes = [], 0, np.diff(offsets)
+        for n in np.flatnonzero(marked).tolist():
+            own = self._tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids
+            parts += [ids[offsets[last] : offsets[n]], np.array(own, np.uint32)]
+            last, sizes[n] = n, len(own)
+        return np.concatenate([*parts, ids[offsets[last] :]]), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         places, dictionary, offsets = split_words(pc.ascii_lower(texts))
         words = dictionary.to_pylist()
         if len(self._words) > MOST_WORDS:

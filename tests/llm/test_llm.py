@@ -52,9 +52,7 @@ def texts(small):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(WORDS)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(WORDS)
 
 
 def crc(ids):
@@ -268,6 +266,24 @@ def test_packing_of_odd_tables(odd, empty):
     assert swap_packing.pack_documents(empty, WORDS, 0).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_null(spark):
+    ids = [9007199254740993, 9007199254740995, None, -(1 << 62) - 1]
+    docs = spark.createDataFrame([(i, "a few words of text") for i in ids], "doc_id long, text string")
+    found = swap_packing.pack_documents(docs, WORDS, end_id=0, group_pieces=100).collect()
+    assert sorted((r.doc_id for r in found), key=str) == sorted(ids, key=str)
+
+
+def test_special_strings_are_the_librarys(spark):
+    texts = ["a <|endoftext|> b", "x<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> c", "plain", "", "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = new_folder(spark, "special")
+    direct_codes.write_token_files(docs, path, WORDS, 2)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in direct_codes.read_token_files(spark, path).collect()}
+    wanted = [tokenizer().encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert wanted[0] == [320, 49407, 321, 2]
+    assert got == {n: (len(ids), crc(ids)) for n, ids in enumerate(wanted)}
+
+
 def test_local_search_empties_bins():
     lengths = [6, 6, 4, 4, 5, 5]
     search = swap_packing._Search([[0], [1], [2, 4], [3, 5]], lengths, 10)
@@ -289,7 +305,7 @@ def test_near_duplicates_agree_with_sql(spark):
 
 def test_near_duplicates_of_odd_tables(spark, odd, empty):
     rows = sorted(map(tuple, weighted_minhash.classes(odd).collect()), key=str)
-    assert len(rows) == len(ODD) and all(i == c and k for i, c, k in rows if i != 7 or True)
+    assert len(rows) == len(ODD) and all(i == c and k for i, c, k in rows)
     kept = weighted_minhash.keep_one(odd)
     assert kept.columns == odd.columns and kept.where("doc_id = 5").count() == 1
     assert weighted_minhash.classes(empty).count() == 0 and weighted_minhash.keep_one(empty).count() == 0
@@ -366,6 +382,25 @@ def test_quality_on_held_out_labels(spark):
     assert ((rows.score >= 0.3).astype(int) == rows.predicted).all()
 
 
+@pytest.mark.parametrize("trusted, others", [(1, 6), (2, 1), (1, 0)])
+def test_quality_with_hardly_any_text(spark, trusted, others):
+    """Fold 0 is never learned from, so ids outside it are chosen."""
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][: trusted + others]
+    docs = spark.createDataFrame([(i, f"Some text number {i}.") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(n < trusted)) for n, i in enumerate(ids)], "doc_id long, quality int")
+    scores = quality_pu.score_documents(docs, quality_pu.train(docs, labels)).collect()
+    assert len(scores) == len(ids) and all(0 <= r.score <= 1 for r in scores)
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    schema = "doc_id long, text string, n_chars long, _kept_id string, _new_text string, _measures string"
+    rows = [(1, "password = abcdefgh12345678", 27, "a", "b", "c"), (2, "plain words", 11, "a", "b", "c")]
+    docs = spark.createDataFrame(rows, schema)
+    assert sorted(map(tuple, weighted_minhash.keep_one(docs).collect())) == rows
+    changed = sorted(map(tuple, secret_cnn.redact(docs, None, length_column="n_chars").collect()))
+    assert changed[1] == rows[1] and changed[0][3:] == rows[0][3:] and "abcdefgh" not in changed[0][1]
+
+
 def test_quality_of_odd_tables(spark, odd, empty):
     labels = spark.createDataFrame([(6, 1, 0), (7, 1, 1), (5, 1, 0), (4, 0, 0), (None, 1, 0), (3, None, 0)],
                                    "doc_id long, quality int, toxic int")
