@@ -59,8 +59,11 @@ class Measure:
     column: str | None = None
     context: Mapping[str, str] = field(default_factory=dict)
 
-    def partial(self) -> Column:
+    def partial(self, condition: Column | None = None) -> Column:
+        """The aggregate over fact rows, or over those that `condition` holds for."""
         value = F.lit(1) if self.column is None else F.col(self.column)
+        if condition is not None:
+            value = F.when(condition, value)
         for column, fixed in self.context.items():
             value = F.when(F.col(column) == fixed, value)
         return F.count(value) if self.column is None else F.sum(value)
@@ -90,14 +93,23 @@ MEASURES: dict[str, Measure | Ratio] = {
     "vitimas_detalhado": Measure(VICTIMS, "quantidade"),
 }
 
+LEVEL = "nivel"  # of a row with subtotals: by how many columns it is grouped
+
 Filters = Mapping[str, Sequence]
+Star = Mapping[str, DataFrame]
+
+
+def bases(name: str) -> list[str]:
+    """The additive measures that a measure is made of."""
+    measure = MEASURES[name]
+    return [measure.numerator, measure.denominator] if isinstance(measure, Ratio) else [name]
 
 
 def _link(fact: str, dimension: str) -> str | None:
     return next((k for f, k, d in RELATIONSHIPS if (f, d) == (fact, dimension)), None)
 
 
-def _matches(column: str, values: Sequence) -> Column:
+def matches(column: str, values: Sequence) -> Column:
     known = [v for v in values if v is not None]
     hit = F.col(column).isin(known)
     return hit if len(known) == len(values) else hit | F.col(column).isNull()
@@ -114,13 +126,13 @@ def restrict(star: Mapping[str, DataFrame], fact: str, where: Filters) -> DataFr
     by_dimension: dict[str, dict] = {}
     for column, values in where.items():
         if column in frame.columns and column not in ATTRIBUTES:
-            frame = frame.filter(_matches(column, values))
+            frame = frame.filter(matches(column, values))
         elif column in ATTRIBUTES and _link(fact, ATTRIBUTES[column]):
             by_dimension.setdefault(ATTRIBUTES[column], {})[column] = values
     for dimension, filters in by_dimension.items():
         key = _link(fact, dimension)
         wanted = reduce(
-            lambda d, f: d.filter(_matches(*f)), filters.items(), star[dimension]
+            lambda d, f: d.filter(matches(*f)), filters.items(), star[dimension]
         ).select(key)
         blank = all(None in values for values in filters.values())
         if blank:
@@ -131,31 +143,43 @@ def restrict(star: Mapping[str, DataFrame], fact: str, where: Filters) -> DataFr
     return frame
 
 
+def split_grouping(
+    star: Star, fact: str, by: Sequence[str]
+) -> tuple[dict[tuple[str, str], list[str]], list[str]]:
+    """Grouping columns of dimensions, by (dimension, foreign key), and those the fact has itself."""
+    dimensions: dict[tuple[str, str], list[str]] = {}
+    for column in by:
+        dimension = ATTRIBUTES.get(column)
+        if dimension and (key := _link(fact, dimension)):
+            dimensions.setdefault((dimension, key), []).append(column)
+        elif dimension or column not in star[fact].columns:
+            raise ValueError(f"{fact} cannot be grouped by {column}")
+    return dimensions, [c for c in by if c not in ATTRIBUTES]
+
+
 def _aggregate(
     star: Mapping[str, DataFrame], fact: str, measures: Mapping[str, Measure],
-    by: Sequence[str], where: Filters,
+    by: Sequence[str], where: Filters, totals: bool = False,
 ) -> DataFrame:
-    """Measures of one fact under one context.
+    """Measures of one fact under one context; with `totals`, also of every leading part of `by`.
 
     Rows are first combined per foreign key, where map-side aggregation absorbs hot keys, and
-    only the combined rows meet the dimensions.
+    only the combined rows meet the dimensions and are rolled up.
     """
     frame = restrict(star, fact, where)
-    dimensions = {}
-    for column in by:
-        dimension = ATTRIBUTES.get(column)
-        if dimension and (key := _link(fact, dimension)):
-            dimensions.setdefault((dimension, key), []).append(column)
-        elif column not in frame.columns:
-            raise ValueError(f"{fact} cannot be grouped by {column}")
+    dimensions, own = split_grouping(star, fact, by)
     keys = [key for _, key in dimensions]
-    own = [c for c in by if c not in ATTRIBUTES]
     sums = frame.groupBy(*own, *keys).agg(*[m.partial().alias(n) for n, m in measures.items()])
-    if not dimensions:
+    if not dimensions and not totals:
         return sums
     for (dimension, key), columns in dimensions.items():
         sums = sums.join(star[dimension].select(key, *columns), key, "left")
-    return sums.groupBy(*by).agg(*[F.sum(n).alias(n) for n in measures])
+    values = [F.sum(n).alias(n) for n in measures]
+    if not totals:
+        return sums.groupBy(*by).agg(*values)
+    # grouping_id has a bit for each column rolled up: as many ones as columns are missing
+    level = (F.lit(len(by)) - F.bit_count(F.grouping_id())).cast("int").alias(LEVEL)
+    return sums.rollup(*by).agg(level, *values)
 
 
 def _combine(left: DataFrame, right: DataFrame, by: Sequence[str], shared: Sequence[str]) -> DataFrame:
@@ -176,23 +200,30 @@ def ask(
     measures: Sequence[str],
     by: Sequence[str] = (),
     where: Filters | None = None,
+    totals: bool = False,
 ) -> DataFrame:
-    """Evaluate measures per group of `by`, under filters `where` (column -> allowed values)."""
+    """Evaluate measures per group of `by`, under filters `where` (column -> allowed values).
+
+    With `totals` the answer also has a row for every leading part of `by`, down to none. The column LEVEL tells how many
+    columns a row is grouped by, so a subtotal differs from the group of rows without a member. Additive
+    measures are added up level by level, and ratios divided at the level they are shown at. No rows
+    have no totals.
+    """
     where = dict(where or {})
     for column in (*by, *where):
         if column not in ATTRIBUTES and column not in S.FATO_ACIDENTE.names:
             raise ValueError(f"no attribute named {column}")
     needed: dict[str, Measure] = {}
     for name in measures:
-        measure = MEASURES[name]
-        bases = [measure.numerator, measure.denominator] if isinstance(measure, Ratio) else [name]
-        needed |= {base: MEASURES[base] for base in bases}
+        needed |= {base: MEASURES[base] for base in bases(name)}
     if all(any(c in m.context for c in by) for m in needed.values()):
         needed["total_acidentes"] = MEASURES["total_acidentes"]  # only to list the groups
     # Measures of a fact share one scan, except those whose context replaces part of the query.
     parts: dict[tuple, dict[str, Measure]] = {}
     for name, measure in needed.items():
         replaced = measure.replaced([*by, *where])
+        if totals and measure.replaced(by):
+            raise ValueError(f"{name} fixes a column of the grouping, so it has no subtotals over it")
         parts.setdefault((measure.fact, tuple(replaced.items())), {})[name] = measure
     answer = None
     # parts under the whole query come first: they fix the groups of the answer
@@ -200,8 +231,11 @@ def ask(
         fixed = dict(replaced)
         shared = [c for c in by if c not in fixed]
         filters = {c: v for c, v in where.items() if c not in fixed} | {c: [v] for c, v in fixed.items()}
-        part = _aggregate(star, fact, members, shared, filters)
-        answer = part if answer is None else _combine(answer, part, by, shared)
+        part = _aggregate(star, fact, members, shared, filters, totals)
+        if totals:
+            answer = part if answer is None else _combine(answer, part, [*by, LEVEL], [*shared, LEVEL])
+        else:
+            answer = part if answer is None else _combine(answer, part, by, shared)
     columns = []
     for name in measures:
         measure = MEASURES[name]
@@ -210,7 +244,7 @@ def ask(
         else:  # no rows: a count is 0, a sum has no value
             value = F.col(name) if measure.column else F.coalesce(F.col(name), F.lit(0))
         columns.append(value.alias(name))
-    return answer.select(*by, *columns)
+    return answer.select(*by, *([LEVEL] if totals else []), *columns)
 
 
 def drill_through(star: Mapping[str, DataFrame], accident_ids: DataFrame) -> dict[str, DataFrame]:

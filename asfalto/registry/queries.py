@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from asfalto import schemas as S
 from asfalto.functions import calendar, rows
 from asfalto.operators import keys, layout, quality, reshape
-from asfalto.plans import dashboard, dims, facts, medallion, star
+from asfalto.plans import dashboard, dims, facts, medallion, pages, star
 from asfalto.plans import silver as cleaning
 from asfalto.registry.lakes import gold_lake, silver_lake
 from asfalto.session import new_folder
@@ -769,6 +769,17 @@ SLICED_MEASURES = [
 ]
 
 
+# Registered answer with subtotals -> (measures, grouping, slicers).
+TOTALS = {
+    "m_taxa_mortalidade_totais": (["taxa_mortalidade"], ["uf", "ano"], {}),
+    "m_media_veiculos_totais": (["media_veiculos", "total_acidentes"], ["ano", "uf"], {}),
+    "fatos_com_totais": (
+        ["total_acidentes", "total_veiculos", "vitimas_detalhado", "acidentes_fatais", "taxa_mortalidade"],
+        ["concessionaria", "ano"], SLICES["slicer_uf"],
+    ),
+}
+
+
 def _register(name: str, function: Query) -> None:
     QUERIES[name] = function
 
@@ -790,6 +801,21 @@ for _name, _where in SLICES.items():
             gold_lake(spark, sf_dir), SLICED_MEASURES, ["ano"], where
         ),
     )
+for _name, (_wanted, _by, _where) in TOTALS.items():
+    _register(
+        _name,
+        lambda spark, sf_dir, wanted=_wanted, by=_by, where=_where: star.ask(
+            gold_lake(spark, sf_dir), wanted, by, where, totals=True
+        ),
+    )
+# every page under all four slicers
+for _name in pages.PAGES:
+    _register(
+        _name,
+        lambda spark, sf_dir, name=_name: pages.report(
+            gold_lake(spark, sf_dir), name, SLICES["slicers_combined"]
+        ),
+    )
 
 
 @query
