@@ -16,5 +16,7 @@ def relation(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -
     the planner, which then broadcasts them by itself; a plain list of tuples would become an
     RDD of unknown size, joined by a shuffle.
     """
+    if not rows:
+        return spark.createDataFrame([], schema)
     columns = dict(zip(schema.names, zip(*rows)))
     return spark.createDataFrame(pa.table({k: list(v) for k, v in columns.items()}), schema)

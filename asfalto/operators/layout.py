@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -94,6 +95,32 @@ def write_table(
     return Written(path, taken.pop("_rows"), stored.count() - before, taken, stored)
 
 
+def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> Written:
+    """Overwrite those directories of a partitioned table that `df` has rows for, and leave the others alone."""
+    seen = Observation()
+    observed = spread(df, partitions).observe(seen, F.count(F.lit(1)).alias("_rows"))
+    observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    stored = read_table(df.sparkSession, path, df.schema)
+    own = df.select(*partitions).distinct()
+    same = reduce(lambda a, b: a & b, [stored[c].eqNullSafe(own[c]) for c in partitions])
+    return Written(path, seen.get["_rows"], stored.join(own, same, "left_semi").count(), frame=stored)
+
+
+def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) -> list[tuple]:
+    """(folder, value of each column) of every directory of a partitioned table, from the listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return [tuple(r) for r in files.select(folder, *columns).distinct().collect()]
+
+
+def remove_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete directories with all they hold, wherever the session's file systems reach."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(settings).delete(path, True)
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")

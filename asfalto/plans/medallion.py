@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from asfalto import schemas as S
-from asfalto.operators.layout import has_data, read_table, write_table, Written, zorder
+from asfalto.operators.layout import (
+    Written, has_data, partition_folders, read_table, remove_folders, stage, write_partitions, write_table, zorder,
+)
 from asfalto.operators.quality import gate_metrics, verdict
 from asfalto.plans import dims as D
 from asfalto.plans import facts
 from asfalto.plans.silver import REJECTS, silver
-from asfalto.sources.csv_files import EXTRA, fitting, surplus
+from asfalto.sources.csv_files import RECORD, fitting, parsed, surplus
 
 SILVER = "silver_acidentes"
 QUARANTINE = "bronze_quarentena"
@@ -85,13 +87,13 @@ def _together(jobs: Mapping[str, Callable[[], Written]]) -> dict[str, Written]:
 def build_silver(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> Written:
     """Clean and write in one pass, with the quality metrics taken on the way.
 
-    Rows that a scan marks as too long go to the quarantine table instead. They are counted in
+    Records that a scan marks as too long go to the quarantine table whole. They are counted in
     the same pass, and only if there are any is the scan repeated to store them.
     """
-    marked, seen = EXTRA in raw.columns, Observation()
+    marked, seen = RECORD in raw.columns, Observation()
     fit = raw
     if marked:
-        too_long = F.count_if(F.col(EXTRA).isNotNull()).alias("excedentes")
+        too_long = F.count_if(F.col(RECORD).isNotNull()).alias("excedentes")
         fit = fitting(raw.observe(seen, too_long))
     written = lake.save(SILVER, silver(fit, audit=True), mode=mode, metrics=gate_metrics(), drop=REJECTS)
     if marked and seen.get["excedentes"]:
@@ -104,6 +106,47 @@ def build_silver(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> Written
     return written
 
 
+def replay(lake: Lake, mended: DataFrame) -> Written:
+    """Add quarantined records that somebody mended to silver; those that still do not fit stay in quarantine.
+
+    `mended` has the rows of the quarantine table, or some of them, with RECORD changed where need be. Records of
+    the table that it leaves out stay as they are: a record is told by its file and text, so `mended` says in
+    `_original` what a changed one was.
+    """
+    held = lake.spark.read.parquet(lake.path(QUARANTINE))
+    key = [S.FILE_COLUMN, "_original"]
+    # the quarantine table is written over below, so what is read of it must be stored first
+    rows = stage(parsed(mended), "mended")
+    left = held.withColumn("_original", F.col(RECORD)).join(mended.select(*key).distinct(), key, "left_anti")
+    rest = stage(left.select(*held.columns).unionByName(surplus(rows)), "quarantine")
+    written = lake.save(
+        SILVER, silver(fitting(rows), audit=True), mode="append", metrics=gate_metrics(), drop=REJECTS)
+    written.metrics["excedentes"] = write_table(rest, lake.path(QUARANTINE)).written
+    written.metrics["veredito"] = verdict(written.metrics)
+    return written
+
+
+def replace_operators(lake: Lake, raw: DataFrame) -> Written:
+    """Put the rows of `raw` in place of all that silver holds of their operators.
+
+    Only partitions of these operators are written, year by year, and years of theirs that no longer occur are
+    removed; files of other operators are not touched. A reader between the two steps may still see a stale year.
+    """
+    spark = lake.spark
+    rows = stage(silver(fitting(raw) if RECORD in raw.columns else raw), "replacement")
+    schema, partitions = S.TABLES[SILVER]
+    # operators are enumerated; years of one operator are a few dozen
+    new = {(r["concessionaria"], r["ano"]) for r in rows.select("concessionaria", "ano").distinct().collect()}
+    stale = [
+        folder for folder, operator, year in partition_folders(spark, lake.path(SILVER), ["concessionaria", "ano"])
+        if operator in {o for o, _ in new} and (operator, year) not in new
+    ]
+    written = write_partitions(rows.select(*schema.names), lake.path(SILVER), partitions)
+    remove_folders(spark, stale)
+    lake.refresh()
+    return written
+
+
 def build_dims(lake: Lake) -> dict[str, Written]:
     rows, spark = lake[SILVER], lake.spark
     builders = {

@@ -16,7 +16,7 @@ from asfalto.registry.lakes import gold_lake, silver_lake
 from asfalto.session import new_folder
 from asfalto.sources import csv_files, landing
 from asfalto.sources.accidents import raw_rows
-from asfalto.streaming.landing_stream import take_new_files
+from asfalto.streaming.landing_stream import QUARANTINE, landed, take_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,9 +75,8 @@ def bronze_union(spark, sf_dir):
     return _named_by_file(csv_files.fitting(csv_files.read_folder(spark, folder)))
 
 
-@query
-def quarantine(spark, sf_dir):
-    """Rows with a field too many, and rows cut short, among whole ones."""
+def _faulty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Files by operator where rows of hour 05 have a field too many and rows of hour 07 are cut short."""
     folder, raw = new_folder(spark, "csv-faulty"), raw_rows(spark, sf_dir)
     fields = [F.coalesce(F.col(c), F.lit("")) for c in S.RAW_COLUMNS]
     whole, short = F.concat_ws(";", *fields), F.concat_ws(";", *fields[:-3])
@@ -87,17 +86,49 @@ def quarantine(spark, sf_dir):
         .when(hour.startswith("07"), short)
         .otherwise(whole)
     )
-    raw.select(line.alias("value")).write.text(folder)
-    scanned = csv_files.scan(spark, folder, header=False, multi_line=False)
-    counted = [
-        F.count("*").alias("linhas"),
-        F.count("ilesos").alias("com_ilesos"),
-        F.count("mortos").alias("com_mortos"),
-    ]
-    kept = csv_files.fitting(scanned).agg(F.lit("aceita").alias("classe"), *counted)
-    return kept.unionByName(
-        csv_files.surplus(scanned).agg(F.lit("excedente").alias("classe"), *counted)
+    csv_files.write_lines(raw.select(line.alias("value"), S.FILE_COLUMN), folder)
+    return folder
+
+
+@query
+def quarantine(spark, sf_dir):
+    """What `build_silver` takes and what it sets apart, of files with long and short records."""
+    lake = medallion.Lake(spark, new_folder(spark, "lake-faulty"))
+    medallion.build_silver(lake, csv_files.read_folder(spark, _faulty_csv(spark, sf_dir)))
+    taken = lake[_SILVER].agg(
+        F.lit("aceita").alias("classe"), F.count("*").alias("linhas"),
+        F.count("ilesos").alias("com_ilesos"), F.count("mortos").alias("com_mortos"),
+    )
+    records = spark.read.parquet(lake.path(medallion.QUARANTINE))
+    apart = csv_files.parsed(records).agg(
+        F.lit("excedente").alias("classe"), F.count(csv_files.RECORD).alias("linhas"),
+        F.count("ilesos").alias("com_ilesos"), F.count("mortos").alias("com_mortos"),
     )
+    return taken.unionByName(apart)
+
+
+@query
+def quarantine_replay(spark, sf_dir):
+    """Silver of faulty files after all records set apart were mended and read again."""
+    lake = medallion.Lake(spark, new_folder(spark, "lake-faulty"))
+    medallion.build_silver(lake, csv_files.read_folder(spark, _faulty_csv(spark, sf_dir)))
+    record = F.col(csv_files.RECORD)
+    mended = spark.read.parquet(lake.path(medallion.QUARANTINE)).withColumns(
+        {"_original": record, csv_files.RECORD: F.regexp_replace(record, ";x$", "")})
+    medallion.replay(lake, mended)
+    left = spark.read.parquet(lake.path(medallion.QUARANTINE)).count()
+    return lake[_SILVER].withColumn("em_quarentena", F.lit(left).cast("long"))
+
+
+@query
+def replace_operators(spark, sf_dir):
+    """Silver after the files of some operators, first landed with other dates and rows, were landed again."""
+    lake, raw = medallion.Lake(spark, new_folder(spark, "lake-replaced")), raw_rows(spark, sf_dir)
+    again = F.col(S.FILE_COLUMN) < "Files/bronze/acidentes/demostrativo_acidentes_e"
+    early = raw.filter(again).withColumn("data", F.regexp_replace("data", r"/19(\d\d)$", "/18$1"))
+    medallion.build_silver(lake, raw.filter(~again).unionByName(early.unionByName(early.limit(100))))
+    medallion.replace_operators(lake, raw.filter(again))
+    return lake[_SILVER]
 
 
 @query
@@ -121,8 +152,13 @@ def static_relation(spark, sf_dir):
 
 @query
 def landing_manifest(spark, sf_dir):
-    found = landing.landed(spark, _landed_csv(spark, sf_dir))
-    return landing.manifest(landing.catalogue(spark), found)
+    """Files of operators from r on have landed without their last column."""
+    folder, raw = new_folder(spark, "csv-manifest"), raw_rows(spark, sf_dir)
+    late = F.col(S.FILE_COLUMN) >= "Files/bronze/acidentes/demostrativo_acidentes_r"
+    csv_files.write_folder(raw.filter(~late), folder)
+    csv_files.write_folder(raw.filter(late), folder, columns=S.RAW_COLUMNS[:-1])
+    found, faulty = landing.landed(spark, folder), landing.unreadable(spark, folder)
+    return landing.manifest(landing.catalogue(spark), found, faulty)
 
 
 @query
@@ -134,13 +170,24 @@ def landing_report(spark, sf_dir):
 
 @query
 def landing_manifest_stream(spark, sf_dir):
-    """Two runs of the stream form: the second finds nothing new."""
-    folder, target = _landed_csv(spark, sf_dir), new_folder(spark, "stream-table")
-    checkpoint = new_folder(spark, "stream-checkpoint")
+    """Two runs of the stream form, the second after more files came, in another column order and with long rows."""
+    folder, target = new_folder(spark, "csv-stream"), new_folder(spark, "stream-table")
+    checkpoint, raw = new_folder(spark, "stream-checkpoint"), raw_rows(spark, sf_dir)
+    early = F.col(S.FILE_COLUMN) < "Files/bronze/acidentes/demostrativo_acidentes_n"
+    csv_files.write_folder(raw.filter(early), folder)
+    take_new_files(spark, folder, target, checkpoint)
+    turned = [*S.RAW_COLUMNS[:0:-1], S.RAW_COLUMNS[0]]
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in turned]
+    long_row = F.when(F.col("horario").startswith("05"), F.lit(";x")).otherwise(F.lit(""))
+    lines = raw.filter(~early).select(F.concat(F.concat_ws(";", *fields), long_row).alias("value"), S.FILE_COLUMN)
+    csv_files.write_lines(lines, folder, turned)
     for _ in range(2):
         take_new_files(spark, folder, target, checkpoint)
-    taken = spark.read.schema(S.RAW.add(S.FILE_COLUMN, "string")).parquet(target)
-    return _named_by_file(taken).groupBy("arquivo").agg(F.count("*").alias("linhas"))
+    counts = [F.count("*").alias("linhas"), F.count("data").alias("com_data"), F.count("mortos").alias("com_mortos")]
+    taken = _named_by_file(landed(spark, target)).groupBy("arquivo").agg(F.lit("aceita").alias("classe"), *counts)
+    apart = _named_by_file(csv_files.parsed(landed(spark, target, QUARANTINE))).groupBy("arquivo").agg(
+        F.lit("excedente").alias("classe"), *counts)
+    return taken.unionByName(apart)
 
 
 # --- sinks and layout ------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from asfalto import schemas as S
 from asfalto.functions.inline import relation
 from asfalto.functions.rows import file_name
+from asfalto.sources.csv_files import describe_files, faults
 
 LANDED, PENDING, FAILED = "skip", "pendente", "erro"
 
@@ -30,17 +31,28 @@ def landed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def manifest(catalogued: DataFrame, found: DataFrame, force: bool = False) -> DataFrame:
-    """Status per catalogued file: landed ones are skipped, `force` re-takes all.
+def unreadable(spark: SparkSession, path: str) -> DataFrame:
+    """(filename, motivo) of landed files whose header lacks a column."""
+    found = faults(describe_files(spark, path))
+    return found.groupBy(file_name(F.col("file")).alias("filename")).agg(F.min("reason").alias("motivo"))
+
+
+def manifest(
+    catalogued: DataFrame, found: DataFrame, faulty: DataFrame | None = None, force: bool = False
+) -> DataFrame:
+    """Status per catalogued file: landed ones are skipped, `force` re-takes all, those in `faulty` have failed.
 
     Spark lists no empty files, so one that broke off before its first byte is still pending.
     """
-    status = F.when(F.col("bytes").isNull(), PENDING).otherwise(LANDED)
+    files = catalogued.join(found, "filename", "left")
+    files = files.withColumn("motivo", F.lit(None).cast("string")) if faulty is None else files.join(
+        faulty, "filename", "left")
+    status = (
+        F.when(F.col("bytes").isNull(), PENDING).when(F.col("motivo").isNotNull(), FAILED).otherwise(LANDED)
+    )
     if force:
         status = F.lit(PENDING)
-    return catalogued.join(found, "filename", "left").select(
-        "filename", "concessionaria", status.alias("status")
-    )
+    return files.select("filename", "concessionaria", status.alias("status"), "motivo")
 
 
 def report(catalogued: DataFrame, found: DataFrame) -> DataFrame:
