@@ -6,8 +6,10 @@ branches, nearest centre first: it takes the best one, descends from it to a lea
 passed by. How many leaves are visited is widened until calibration queries, whose true
 neighbours are found by comparing them with all vectors, reach the wanted recall.
 
-Vectors lie in blocks of bounded size by leaf, queries in blocks by the leaves they visit; a pair
-of blocks is one row of a join, and gives each query's nearest of that block.
+Vectors lie in blocks of bounded size by leaf. Queries lie in packs, neighbours in the tree together; a pack reads
+the blocks of every leaf that one of its queries visits, the best bins first. The task keeps each query's nearest
+so far, and later blocks add only what beats the last of them, so the rows that leave a task follow the queries and
+not the leaves they visit.
 """
 
 from __future__ import annotations
@@ -28,9 +30,15 @@ NEIGHBOURS = 5
 SAMPLE_ROWS = 20_000
 BRANCHES = 8
 LEAF_ROWS = 256
-RECALL = 0.98
+RECALL = 0.95
 CALIBRATION_QUERIES = 128
 BLOCK_ROWS = 512
+PACK_ROWS = 256
+PARTS = 4  # tasks that share a pack's blocks
+
+
+_NO_ID = np.iinfo(np.int64).max  # stands for a null id, which comes last among equals
+_FILED = "leaf long, node long, vec_id long, vector binary"
 
 
 @dataclass
@@ -46,7 +54,14 @@ class Tree:
         return len(self.centres) - 1
 
     def leaves(self) -> list[int]:
-        return [n for n, below in enumerate(self.children) if not below]
+        """All leaves, those of one subtree together."""
+        found, waiting = [], [0]
+        while waiting:
+            node = waiting.pop()
+            waiting += self.children[node]
+            if not self.children[node]:
+                found.append(node)
+        return found
 
     def assign(self, rows: np.ndarray) -> np.ndarray:
         """Leaf of every unit vector: at each node the nearest branch."""
@@ -158,20 +173,24 @@ def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def _nearest(queries, q_nodes, rows, nodes, ids, count: int) -> list[tuple[int, int, float]]:
-    """(place of the query, place of the row, cosine): each query's best, ties to smaller ids."""
+def _nearest(queries, q_nodes, rows, nodes, ids, count: int, floors=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the query, place of the row, cosine): each query's best, ties to smaller ids.
+
+    With `floors`, only those that reach their query's.
+    """
     near = unit(queries) @ unit(rows).T
     near[q_nodes[:, None] == nodes[None, :]] = -np.inf  # a query's own row
     # rounding of the product must not decide: keep all that could be among the best, then rescore
     keep = min(count, near.shape[1])
     border = np.partition(near, near.shape[1] - keep, axis=1)[:, near.shape[1] - keep]
+    if floors is not None:
+        border = np.maximum(border, floors)
     q, r = np.nonzero((near >= border[:, None] - 1e-9) & np.isfinite(near))
     scores = cosines(queries[q], rows[r])
     order = np.lexsort((ids[r], -scores, q))
     q, r, scores = q[order], r[order], scores[order]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    best = rank < count
-    return list(zip(q[best].tolist(), r[best].tolist(), scores[best].tolist()))
+    best = np.arange(len(q)) - np.searchsorted(q, q) < count
+    return q[best], r[best], scores[best]
 
 
 def _matched(pairs: DataFrame, count: int) -> DataFrame:
@@ -183,21 +202,102 @@ def _matched(pairs: DataFrame, count: int) -> DataFrame:
                 q_nodes, nodes = np.array(row["q_nodes"]), np.array(row["nodes"])
                 queries = np.frombuffer(row["q_data"], np.float64).reshape(len(q_nodes), -1)
                 rows = np.frombuffer(row["data"], np.float64).reshape(len(nodes), -1)
-                # null ids come last among equals
-                ids = np.array([np.iinfo(np.int64).max if i is None else i for i in row["ids"]])
-                best = _nearest(queries, q_nodes, rows, nodes, ids, count)
+                ids = np.array([_NO_ID if i is None else i for i in row["ids"]])
+                q, r, scores = _nearest(queries, q_nodes, rows, nodes, ids, count)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["q_nodes"][q] for q, _, _ in best], pa.int64()),
-                        pa.array([row["q_ids"][q] for q, _, _ in best], pa.int64()),
-                        pa.array([row["ids"][r] for _, r, _ in best], pa.int64()),
-                        pa.array([s for *_, s in best], pa.float64()),
-                        pa.array([row["leaf"]] * len(best), pa.int64()),
-                    ],
-                    names=["q_node", "query_id", "vec_id", "score", "leaf"],
+                    [pa.array(q_nodes[q]), pa.array([row["ids"][n] for n in r], pa.int64()), pa.array(scores),
+                     pa.array(np.full(len(q), row["leaf"]))],
+                    names=["q_node", "vec_id", "score", "leaf"],
                 )
 
-    return pairs.mapInArrow(match, "q_node long, query_id long, vec_id long, score double, leaf long")
+    return pairs.mapInArrow(match, "q_node long, vec_id long, score double, leaf long")
+
+
+class _Found:
+    """The nearest `count` rows so far of every query of a pack."""
+
+    def __init__(self, head: dict, count: int):
+        self.nodes, self.query_ids, self.count = np.array(head["nodes"], np.int64), head["ids"], count
+        self.rows = np.frombuffer(head["data"], np.float64).reshape(len(self.nodes), -1)
+        self.floors = np.full(len(self.nodes), -np.inf)
+        self.places, self.scores = np.zeros((2, 0), np.int64), np.zeros(0)  # places: query, vec_id
+
+    def meet(self, block: dict) -> None:
+        nodes = np.array(block["nodes"], np.int64)
+        ids = np.array([_NO_ID if i is None else i for i in block["ids"]], np.int64)
+        rows = np.frombuffer(block["data"], np.float64).reshape(len(nodes), -1)
+        q, r, scores = _nearest(self.rows, self.nodes, rows, nodes, ids, self.count, self.floors)
+        places = np.concatenate([self.places, np.stack([q, ids[r]])], axis=1)
+        scores = np.concatenate([self.scores, scores])
+        order = np.lexsort((places[1], -scores, places[0]))
+        places, scores = places[:, order], scores[order]
+        rank = np.arange(len(scores)) - np.searchsorted(places[0], places[0])
+        last = rank == self.count - 1
+        self.floors[places[0, last]] = scores[last]
+        self.places, self.scores = places[:, rank < self.count], scores[rank < self.count]
+
+    def batch(self) -> pa.RecordBatch:
+        q, ids = self.places
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.nodes[q]), pa.array([self.query_ids[n] for n in q], pa.int64()),
+             pa.array(ids, mask=ids == _NO_ID), pa.array(self.scores)],
+            names=["q_node", "query_id", "vec_id", "score"])
+
+
+def _packs(tree: Tree, queries: DataFrame) -> DataFrame:
+    """(pack, nodes, ids, data): queries, filed in leaves, in packs of leaves that are neighbours in the tree."""
+    # a row per leaf, and leaves are bounded by the sample that the tree was fitted on
+    sizes = dict(queries.groupBy("leaf").count().toLocalIterator())
+    group_of, held = {}, 0
+    for leaf in tree.leaves():
+        group_of[leaf] = held // PACK_ROWS
+        held += sizes.get(leaf, 0)
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = pa.array([group_of[n] for n in batch.column("leaf").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([group, *batch.columns[1:]], names=batch.schema.names)
+
+    together = queries.select("leaf", "node", "vec_id", "vector").mapInArrow(grouped, _FILED)
+    packs = _blocks(together, PACK_ROWS).select(F.monotonically_increasing_id().alias("pack"), "nodes", "ids", "data")
+    return stage(packs, "packs")
+
+
+def _read(tree: Tree, packs: DataFrame, blocks: DataFrame, count: int, most: int) -> DataFrame:
+    """(q_node, query_id, vec_id, score): the nearest in the first `most` leaves of every query, by task."""
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, count, data in zip(*(batch.column(c).to_pylist() for c in ("pack", "size", "data"))):
+                place: dict[int, int] = {}
+                for row in unit(np.frombuffer(data, np.float64).reshape(count, -1)):
+                    for n, leaf in enumerate(tree.visits(row, most)):
+                        place[leaf] = min(n, place.get(leaf, n))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pack] * len(place), pa.int64()), pa.array(list(place), pa.int64()),
+                     pa.array(list(place.values()), pa.int32())], names=["pack", "leaf", "place"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
+                if row["place"] is None:  # a pack begins
+                    if found is not None:
+                        yield found.batch()
+                    found = _Found(row, count)
+                else:
+                    found.meet(row)
+        if found is not None:
+            yield found.batch()
+
+    visits = packs.select("pack", F.size("nodes").alias("size"), "data").mapInArrow(
+        visit, "pack long, leaf long, place int")
+    heads = packs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    met = visits.join(blocks, "leaf").withColumn("part", F.pmod(F.xxhash64("leaf", F.col("nodes")[0]), F.lit(PARTS)))
+    both = heads.unionByName(met.drop("leaf"), allowMissingColumns=True)
+    dealt = both.repartition("pack", "part").sortWithinPartitions("pack", "part", F.asc_nulls_first("place"))
+    return dealt.mapInArrow(search, "q_node long, query_id long, vec_id long, score double")
 
 
 def _ranked(found: DataFrame, count: int) -> DataFrame:
@@ -255,21 +355,9 @@ def nearest(
                     [pa.array(leaf), *batch.columns], names=["leaf", *batch.schema.names]
                 )
 
-    filed = vectors.mapInArrow(file_rows, "leaf long, node long, vec_id long, vector binary")
+    filed = stage(vectors.mapInArrow(file_rows, _FILED), "filed")
     blocks = stage(_blocks(filed, BLOCK_ROWS), "leaf-blocks")
-    queries = vectors.where(is_query)
+    queries = filed.where(is_query)
     most = calibrate(tree, queries, blocks, count, recall, CALIBRATION_QUERIES)
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                one = batch.slice(n, 1)
-                leaves = tree.visits(unit(matrix(one.column("vector")))[0], most)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaves, pa.int64()), *(pa.concat_arrays([c] * len(leaves)) for c in one.columns)],
-                    names=["leaf", *batch.schema.names],
-                )
-
-    visits = queries.mapInArrow(visit, "leaf long, node long, vec_id long, vector binary")
-    pairs = _as_queries(_blocks(visits, BLOCK_ROWS)).join(blocks, "leaf")
-    return _ranked(_matched(pairs, count), count).select("query_id", "rank", "vec_id", "score")
+    found = _read(tree, _packs(tree, queries), blocks, count, most)
+    return _ranked(found, count).select("query_id", "rank", "vec_id", "score")
