@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 # What Spark hands to a Python worker at once; by default 10,000 whole texts of any size.
 BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
@@ -22,10 +23,36 @@ def bound_batches(spark) -> None:
         spark.conf.set(name, value)
 
 
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]) -> object:
+    """What `make` gives, kept by this Python worker until an operator comes that does not want it.
+
+    Spark uses a worker for one operator after another; without this it would keep the vocabularies of them all.
+    """
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go(keep: Hashable = None) -> None:
+    """Forget what is held but `keep`, and give free memory back: pools keep what their largest part took."""
+    for key in [k for k in _held if k != keep]:
+        del _held[key]
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def text_parts(
-    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PART_BYTES
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PART_BYTES, keep: Hashable = None
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a part holds about `most` bytes of `column`; a longer text stays whole."""
+    """Cut batches so that a part holds about `most` bytes of `column`; a longer text stays whole.
+
+    `keep` is the key of what the operator holds while it works.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -37,8 +64,7 @@ def text_parts(
             last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(first, last - first)
             first = last
-        # the pool would keep what the largest part took, beside what other operators of this worker hold
-        pa.default_memory_pool().release_unused()
+        let_go(keep)
 
 
 def texts_of(part: pa.RecordBatch, column: str = "text") -> pa.Array:

@@ -138,7 +138,7 @@ def write_token_files(
             held.clear()
             return row
 
-        for part in text_parts(batches):
+        for part in text_parts(batches, keep=tokenizer):
             ids, offsets = ended(*codec.encode(texts_of(part)), end_id)
             names, first = part.column("doc_id").to_pylist(), 0
             while first < part.num_rows:

@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asfalto.llm.batches import text_parts
+from asfalto.llm.batches import held, text_parts
 
 MOST_PIECES = 600_000
 MOST_PAIRS = 1_000_000
@@ -200,9 +199,9 @@ class TextCodec:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def text_codec(path: str, pattern: str) -> TextCodec:
-    return TextCodec(path, pattern)
+    """One codec per Python worker; the arguments are its key in `batches.held`."""
+    return held((path, pattern), lambda: TextCodec(path, pattern))
 
 
 def encode_digests(
@@ -215,7 +214,7 @@ def encode_digests(
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = text_codec(ranks_path, pattern)
-        for part in text_parts(batches):
+        for part in text_parts(batches, keep=(ranks_path, pattern)):
             counts, hashed, decoded = [], [], []
             for text in part.column("text"):
                 ids = codec.encode(text.as_py() or "")

@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asfalto.llm.batches import text_parts, texts_of
+from asfalto.llm.batches import held, text_parts, texts_of
 from asfalto.operators.layout import stage
 
 PART_BYTES = 2 << 20  # text aligned at once
@@ -76,7 +75,6 @@ class Side:
         return b"".join(map(self.words.__getitem__, ids))
 
 
-@lru_cache(maxsize=1)
 def byte_side(path: str) -> Side:
     """A byte-level vocabulary of the tokenizers library; a space comes before the text."""
     from tokenizers import Tokenizer
@@ -93,7 +91,6 @@ def byte_side(path: str) -> Side:
     return Side(words, encode)
 
 
-@lru_cache(maxsize=1)
 def piece_side(path: str) -> Side:
     """A sentencepiece model, which puts a space before the text itself."""
     import sentencepiece
@@ -213,9 +210,9 @@ def chunks(
     """Documents aligned, in chunks: see CHUNK."""
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = byte_side(a_path), piece_side(b_path)
+        a_side, b_side = held((a_path, b_path), lambda: (byte_side(a_path), piece_side(b_path)))
         number, parts, pairs, links = TaskContext.get().partitionId() << 32, [], np.zeros(0, np.int64), 0
-        for batch in text_parts(batches, most=PART_BYTES):
+        for batch in text_parts(batches, most=PART_BYTES, keep=(a_path, b_path)):
             part = align(batch.column("doc_id").to_pylist(), texts_of(batch).to_pylist(), a_side, b_side)
             parts.append(part)
             pairs = np.union1d(pairs, part.pairs)

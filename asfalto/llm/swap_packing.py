@@ -41,7 +41,7 @@ def pieces_of(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = word_codec(tokenizer)
-        for part in text_parts(batches):
+        for part in text_parts(batches, keep=tokenizer):
             ids, offsets = ended(*codec.encode(texts_of(part)), end_id)
             sizes = np.diff(offsets)
             counts = -(-sizes // capacity)

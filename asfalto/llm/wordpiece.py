@@ -7,18 +7,17 @@ characters across ASCII white space, so the ids of a text are those of its words
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from asfalto.llm.batches import split_words
+from asfalto.llm.batches import held, split_words
 
 # The vocabulary's own split pattern, for lower-case printable ASCII without white space.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-MOST_WORDS = 700_000
-MOST_PIECES = 300_000
+MOST_WORDS = 500_000
+MOST_PIECES = 150_000
 
 
 class WordCodec:
@@ -39,8 +38,8 @@ class WordCodec:
 
     def _forget(self) -> None:
         self._words: dict[str, int] = {}
-        self._starts = np.zeros(1 << 16, np.int64)
-        self._lengths = np.zeros(1 << 16, np.int64)
+        self._starts = np.zeros(1 << 16, np.int32)
+        self._lengths = np.zeros(1 << 16, np.int32)
         self._ids = np.zeros(1 << 18, np.uint32)
         self._filled = 0
 
@@ -101,7 +100,7 @@ class WordCodec:
         if new:
             self._add(new)
         at = np.fromiter(map(self._words.__getitem__, words), np.int64, len(words))[places]
-        lengths = self._lengths[at]
+        lengths = self._lengths[at].astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         if not len(at):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
@@ -118,10 +117,9 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return larger
 
 
-@lru_cache(maxsize=2)
 def word_codec(path: str) -> WordCodec:
-    """One codec per Python worker and vocabulary."""
-    return WordCodec(path)
+    """One codec per Python worker and vocabulary; `path` is its key in `batches.held`."""
+    return held(path, lambda: WordCodec(path))
 
 
 def ended(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -474,3 +474,20 @@ def test_pipeline_stages(spark, small):
     assert docs.where(F.col("text").rlike("AKIA[A-Z0-9]{14}")).count() == 0
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert packed.select("doc_id").distinct().count() == kept["secrets"]
+
+
+def test_pipeline_of_odd_tables(spark, odd, empty, tmp_path):
+    """Nulls, empty and long texts, repeats and clashing columns go through every stage."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(4, 1), (5, 1), (None, 1), (4, None)], "doc_id long, quality int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    for docs in (odd.withColumn("_kept_id", F.lit("a")).withColumn("_new_text", F.lit("b")), empty):
+        given = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == given, name
+            docs.write.parquet(path := new_folder(spark, name))
+            docs = spark.read.parquet(path)
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
