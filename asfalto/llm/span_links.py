@@ -18,12 +18,13 @@ counts; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,11 @@ from asfalto.llm.batches import held, text_parts, texts_of
 from asfalto.operators.layout import stage
 
 PART_BYTES = 2 << 20  # text aligned at once
+MOST_WORDS = 400_000
+# White space beside white space or an end, or the mark that stands for a space inside one tokenizer. Generous: such a
+# text is only encoded the longer way.
+_SPACE = r"[\s\x0B\x1C-\x1F\x{85}\pZ]"
+_ODD_SPACE = f"{_SPACE}{_SPACE}|^{_SPACE}|{_SPACE}\\z|▁"
 # A chunk ends past so many distinct pairs, or so many distinct pairs of its documents added up.
 CHUNK_PAIRS = 1 << 19
 CHUNK_LINKS = 1 << 22
@@ -66,13 +72,17 @@ def byte_level() -> dict[str, int]:
 class Side:
     """One tokenizer: ids of texts, and the bytes of each id."""
 
-    def __init__(self, words: list[bytes], encode):
-        self.words, self.encode = words, encode
+    def __init__(self, words: list[bytes], encode: Callable[[list[str]], list[list[int]]], whole_words: bool):
+        self.encode, self.whole_words = encode, whole_words
         self.sizes = np.array([len(w) for w in words], np.int64)
+        self._data = np.frombuffer(b"".join(words), np.uint8)
+        self._starts = np.cumsum(self.sizes) - self.sizes
         self.decimal = np.array([str(n) for n in range(len(words))], object)
 
-    def bytes_of(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.words.__getitem__, ids))
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self._data[np.repeat(self._starts[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ids) else 0)]
 
 
 def byte_side(path: str) -> Side:
@@ -88,7 +98,8 @@ def byte_side(path: str) -> Side:
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
-    return Side(words, encode)
+    # its pattern puts a single space at the start of a piece, and merges stay within pieces
+    return Side(words, encode, whole_words=True)
 
 
 def piece_side(path: str) -> Side:
@@ -96,21 +107,97 @@ def piece_side(path: str) -> Side:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = [model.id_to_piece(n) for n in range(model.get_piece_size())]
     words = [
-        bytes([int(p[3:5], 16)]) if model.is_byte(n) else p.replace("▁", " ").encode()
-        for n, p in enumerate(map(model.id_to_piece, range(model.get_piece_size())))
+        bytes([int(p[3:5], 16)]) if model.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)
     ]
-    return Side(words, lambda texts: model.encode(texts, num_threads=1))
+    # where no piece has a space past its start, merges cannot join words
+    whole_words = all("▁" not in p.lstrip("▁") for p in pieces)
+    return Side(words, lambda texts: model.encode(texts, num_threads=1), whole_words)
 
 
-def _side_frame(side: Side, ids: list[list[int]], at: str) -> pd.DataFrame:
+Tokens = tuple[np.ndarray, np.ndarray]  # ids of all texts in a row, offsets of each text
+
+
+class Sides:
+    """Both tokenizers over arrays of texts; words met before are not encoded again, up to a bound.
+
+    Neither side joins what a single space parts, so a text without other runs of white space is its words' ids in
+    a row. Other texts are encoded whole.
+    """
+
+    def __init__(self, a: Side, b: Side):
+        self.a, self.b = a, b
+        self._forget()
+
+    def _forget(self) -> None:
+        self._places: dict[str, int] = {}
+        self._ids: list[list[np.ndarray]] = [[], []]  # of both sides, arrays joined on use
+        self._ends: list[np.ndarray] = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self._places) > MOST_WORDS:
+            self._forget()
+        new = [w for w in words if w not in self._places]
+        self._places.update(zip(new, range(len(self._places), len(self._places) + len(new))))
+        for n, side in enumerate((self.a, self.b)):
+            found = side.encode(new) if new else []
+            sizes = np.fromiter((len(f) if w else 0 for f, w in zip(found, new)), np.int64, len(new))
+            flat = np.fromiter((i for f, w in zip(found, new) if w for i in f), np.int32, int(sizes.sum()))
+            self._ids[n] = [np.concatenate([*self._ids[n], flat])]
+            self._ends[n] = np.concatenate([self._ends[n], self._ends[n][-1] + np.cumsum(sizes)])
+
+    def encode(self, texts: pa.Array) -> tuple[Tokens, Tokens]:
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(False)
+        if not (self.a.whole_words and self.b.whole_words):
+            odd = pc.greater(pc.binary_length(texts), 0).to_numpy(False)
+        lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
+        encoded = lists.values.dictionary_encode()
+        words = encoded.dictionary.to_pylist()
+        self._learn(words)
+        at = np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))[encoded.indices.to_numpy(False)]
+        offsets = lists.offsets.to_numpy(False)
+        rest = np.flatnonzero(odd).tolist()
+        return tuple(
+            _with_whole(self._tokens(n, at, offsets), rest, side.encode([texts[i].as_py() for i in rest]))
+            for n, side in enumerate((self.a, self.b)))
+
+    def _tokens(self, n: int, at: np.ndarray, offsets: np.ndarray) -> Tokens:
+        starts, ends = self._ends[n][at], self._ends[n][at + 1]
+        total = np.concatenate([[0], np.cumsum(ends - starts)])
+        where = np.repeat(starts - total[:-1], ends - starts) + np.arange(total[-1])
+        return self._ids[n][0][where].astype(np.int64), total[offsets]
+
+
+def _with_whole(tokens: Tokens, places: list[int], found: list[list[int]]) -> Tokens:
+    """Tokens with those of some texts, which had none, put in."""
+    if not places:
+        return tokens
+    (ids, offsets), parts, last, sizes = tokens, [], 0, np.diff(tokens[1])
+    for n, own in zip(places, found):
+        parts += [ids[offsets[last] : offsets[n]], np.array(own, np.int64)]
+        last, sizes[n] = n, len(own)
+    return np.concatenate([*parts, ids[offsets[last] :]]), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _cut(side: Side, tokens: Tokens, texts: list[str]) -> np.ndarray:
+    """Which texts' tokens have the bytes of a space and the text; an empty text has none."""
+    ids, offsets = tokens
+    data = side.bytes_of(ids)
+    ends = np.concatenate([[0], np.cumsum(side.sizes[ids])])[offsets]
+    return np.array([
+        bool(t) and data[a:b].tobytes() == f" {t}".encode() for t, a, b in zip(texts, ends[:-1], ends[1:])], bool)
+
+
+def _side_frame(side: Side, tokens: Tokens, good: np.ndarray, at: str) -> pd.DataFrame:
     """A row per token: document, id, first byte and the byte after the last, counted over all documents."""
-    flat = np.fromiter((i for own in ids for i in own), np.int64, sum(map(len, ids)))
-    sizes = side.sizes[flat]
+    ids, offsets = tokens
+    doc = np.repeat(np.arange(len(good)), np.diff(offsets))
+    kept = good[doc]
+    doc, ids = doc[kept], ids[kept]
+    sizes = side.sizes[ids]
     ends = np.cumsum(sizes)
-    return pd.DataFrame({
-        "doc": np.repeat(np.arange(len(ids)), [len(own) for own in ids]), at: flat, "start": ends - sizes, "end": ends,
-    })
+    return pd.DataFrame({"doc": doc, at: ids, "start": ends - sizes, "end": ends}, copy=False)
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -152,21 +239,20 @@ class Part:
     repeats: np.ndarray
 
 
-def align(doc_ids: list[int | None], texts: list[str], a_side: Side, b_side: Side) -> Part:
-    a_ids, b_ids = a_side.encode(texts), b_side.encode(texts)
-    for n, text in enumerate(texts):
-        whole = f" {text}".encode()
-        if not text or a_side.bytes_of(a_ids[n]) != whole or b_side.bytes_of(b_ids[n]) != whole:
-            a_ids[n] = b_ids[n] = []
+def align(doc_ids: list[int | None], texts: pa.Array, sides: Sides) -> Part:
+    a_side, b_side = sides.a, sides.b
+    a_tokens, b_tokens = sides.encode(texts)
+    texts = texts.to_pylist()
+    good = _cut(a_side, a_tokens, texts) & _cut(b_side, b_tokens, texts)
     count = len(texts)
-    a, b = _side_frame(a_side, a_ids, "a"), _side_frame(b_side, b_ids, "b")
+    a, b = _side_frame(a_side, a_tokens, good, "a"), _side_frame(b_side, b_tokens, good, "b")
     n_groups, grouped = group_texts(a_side, b_side, a, b, count)
     links = overlaps(a, b)
     pairs, code = np.unique((links["a"].to_numpy() << 32) | links["b"].to_numpy(), return_inverse=True)
     own, repeats = np.unique(links["doc"].to_numpy() * max(1, len(pairs)) + code, return_counts=True)
     owner, code = np.divmod(own, max(1, len(pairs)))
     return Part(
-        doc_ids, np.array([len(i) for i in a_ids]), np.array([len(i) for i in b_ids]), n_groups,
+        doc_ids, *(np.where(good, np.diff(t[1]), 0) for t in (a_tokens, b_tokens)), n_groups,
         [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in grouped],
         np.bincount(owner, minlength=count), pairs[code], repeats,
     )
@@ -210,10 +296,10 @@ def chunks(
     """Documents aligned, in chunks: see CHUNK."""
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = held((a_path, b_path), lambda: (byte_side(a_path), piece_side(b_path)))
+        sides = held((a_path, b_path), lambda: Sides(byte_side(a_path), piece_side(b_path)))
         number, parts, pairs, links = TaskContext.get().partitionId() << 32, [], np.zeros(0, np.int64), 0
         for batch in text_parts(batches, most=PART_BYTES, keep=(a_path, b_path)):
-            part = align(batch.column("doc_id").to_pylist(), texts_of(batch).to_pylist(), a_side, b_side)
+            part = align(batch.column("doc_id").to_pylist(), texts_of(batch), sides)
             parts.append(part)
             pairs = np.union1d(pairs, part.pairs)
             links += len(part.pairs)

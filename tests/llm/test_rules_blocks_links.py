@@ -8,6 +8,7 @@ import time
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,6 +240,21 @@ def test_alignment_of_odd_tables(spark):
     assert span_links.aligned(table(spark, []), A, B).count() == 0
 
 
+def test_words_encoded_once_are_words_of_whole_texts():
+    """Odd white space, marks that join, and words of many kinds, with a small store of words."""
+    rng = np.random.default_rng(6)
+    bits = ["a", "don't", "x1", "42", "é", "e\u0301", "日本", "\u0301", "\n", "\t", " ", "  ", "\u00a0", "\u3000", "\u0085", "\x1c",
+            "...", "'s", "<|endoftext|>", "▁", "\u200b", "😀", "\ufeff", "ﬁ", "½"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 12))) for _ in range(4000)]
+    texts += [" ".join(rng.choice(bits, rng.integers(1, 6))) for _ in range(4000)]
+    sides = span_links.Sides(span_links.byte_side(A), span_links.piece_side(B))
+    for part in (texts[:3000], texts[3000:]):
+        for side, (ids, offsets) in zip((sides.a, sides.b), sides.encode(pa.array(part))):
+            whole = side.encode(part)
+            for n, text in enumerate(part):
+                assert ids[offsets[n] : offsets[n + 1]].tolist() == (whole[n] if text else []), repr(text)
+
+
 def test_alignment_is_linear_in_the_text(spark):
     start = time.monotonic()
     assert span_links.aligned(table(spark, [(1, SENTENCE * 20_000)]), A, B).first().n_a > 250_000
