@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BITS = 6  # buckets per column: 2 ** BITS
+CELLS_PER_FILE = 64  # so that ranges of the curve can be cut evenly, and row groups differ within a file
 
 
-def bucket_of(value: Column, bounds: list, first: int = 0) -> Column:
-    """How many of the ascending bounds lie at or below the value, found by halving.
+def bits_for(files: int, columns: int) -> int:
+    """Bits per column that give every file of a copy at least CELLS_PER_FILE positions of the curve."""
+    wanted = math.ceil(math.log2(max(1, files) * CELLS_PER_FILE) / columns)
+    return min(wanted, 62 // columns)
+
+
+def bucket_of(value: Column, bounds: list) -> Column:
+    """How many of the ascending bounds lie at or below the value, found by halving one constant array.
 
     NULL compares as unknown with every bound and so lands in the first bucket.
     """
     if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(
-        value >= F.lit(bounds[middle]), bucket_of(value, bounds[middle + 1 :], first + middle + 1)
-    ).otherwise(bucket_of(value, bounds[:middle], first))
+        return F.lit(0)
+    table = F.array(*[F.lit(b) for b in bounds])
+    steps = [1 << n for n in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when(value >= F.get(table, at + step - 1), at + step).otherwise(at),
+    )
 
 
-def interleave(buckets: list[Column], bits: int = BITS) -> Column:
+def interleave(buckets: list[Column], bits: int) -> Column:
     """Bit i of bucket j becomes bit i * len(buckets) + j of the result."""
     width = len(buckets)
     placed = [

@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 from functools import reduce
+from itertools import accumulate
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asfalto.functions.zcurve import BITS, bucket_of, interleave
+from asfalto.functions.inline import relation
+from asfalto.functions.zcurve import bits_for, bucket_of, interleave
 from asfalto.session import new_folder
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+CLOCK_SKEW = timedelta(minutes=10)  # by which clocks of writers and of the store may differ
+JOB_IN_NAME = r"part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"  # Spark names files after the write job
 _Z = "_z"
 
 
@@ -81,7 +88,8 @@ def write_table(
     is run again after a lost executor would be counted twice.
     """
     spark = df.sparkSession
-    before = read_table(spark, path).count() if mode == "append" and has_data(spark, path) else 0
+    since = datetime.now(timezone.utc) - CLOCK_SKEW
+    before = _recent_jobs(spark, path, since) if mode == "append" else None
     seen = Observation()
     observed = spread(df, partitions).observe(
         seen,
@@ -91,8 +99,42 @@ def write_table(
     kept = observed.drop(*drop)
     kept.write.mode(mode).partitionBy(*partitions).parquet(path)
     taken = dict(seen.get)
-    stored = read_table(spark, path, kept.schema)
-    return Written(path, taken.pop("_rows"), stored.count() - before, taken, stored)
+    stored, rows = read_table(spark, path, kept.schema), taken.pop("_rows")
+    read_back = stored.count() if before is None else _appended(spark, path, kept.schema, since, before, rows)
+    return Written(path, rows, read_back, taken, stored)
+
+
+def _recent(reader: DataFrameReader, since: datetime) -> DataFrameReader:
+    """Only data files changed since then, in whatever directory."""
+    return (
+        reader.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
+        .option("timeZone", "UTC")
+    )
+
+
+def _recent_jobs(spark: SparkSession, path: str, since: datetime) -> set[str]:
+    """Write jobs that have put files below a path since then, from the listing alone."""
+    if not has_data(spark, path):
+        return set()
+    files = _recent(spark.read.format("binaryFile"), since).load(path)
+    return {r["job"] for r in files.select(F.regexp_extract("path", JOB_IN_NAME, 1).alias("job")).distinct().collect()}
+
+
+def _appended(
+    spark: SparkSession, path: str, schema: T.StructType, since: datetime, before: set[str], written: int
+) -> int:
+    """Rows of the files that one append has just added, from their footers.
+
+    Other writers may have added files meanwhile, each with a job of its own in their names: of the new jobs this
+    append is the one with as many rows as were written. If there is none, the fullest is told, and they differ.
+    """
+    # no column is read, so Parquet answers from footers
+    rows = _recent(spark.read.schema(schema), since).parquet(path)
+    counts = rows.groupBy(F.regexp_extract("_metadata.file_name", JOB_IN_NAME, 1).alias("job")).count().collect()
+    new = [r["count"] for r in counts if r["job"] not in before]
+    return written if written in new else max(new, default=0)
 
 
 def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> Written:
@@ -167,25 +209,111 @@ def compact(
     return write_table(spreading, target, partitions=partitions)
 
 
+def compact_partitions(
+    spark: SparkSession,
+    path: str,
+    partitions: Sequence[str],
+    target_bytes: int = TARGET_FILE_BYTES,
+    schema: T.StructType | None = None,
+) -> list[str]:
+    """Merge small files of a partitioned table in place, directory by directory; gives the directories rewritten.
+
+    The listing says which directories could do with fewer files: their stored bytes over the target, rounded up, is
+    how many they get. All others are left alone. A directory is swapped when its new files are complete.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    wanted = F.ceil(F.sum("length") / target_bytes).cast("int")
+    crowded = (
+        files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("_folder"), *partitions)
+        .agg(F.count(F.lit(1)).alias("_files"), wanted.alias("_wanted"))
+        .where(F.col("_files") > F.col("_wanted"))
+    )
+    # a row per directory that changes: the list of directories a scan needs anyway
+    found = crowded.collect()
+    if not found:
+        return []
+    folders = [r["_folder"] for r in found]
+    reader = spark.read.option("basePath", path)
+    rows = (reader.schema(schema) if schema else reader).parquet(*folders)
+    names = schema.names if schema else rows.columns
+    total = sum(r["_wanted"] for r in found)
+    first = accumulate((r["_wanted"] for r in found), initial=0)
+    sizes = T.StructType([*[rows.schema[c] for c in partitions],
+                          *[T.StructField(c, T.IntegerType()) for c in ("_wanted", "_first")]])
+    share = relation(spark, [(*[r[c] for c in partitions], r["_wanted"], n) for r, n in zip(found, first)], sizes)
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(share[c]) for c in partitions])
+    part = F.pmod(F.xxhash64(*[F.col(f"r.`{c}`") for c in rows.columns]), F.col("s._wanted")) + F.col("s._first")
+    dealt = rows.alias("r").join(share.alias("s"), same).select(
+        *[F.col(f"r.`{c}`") for c in names], part.cast("int").alias("_part"))
+    # rows that are equal in every column cannot be told apart, and go to one file of the several
+    (
+        dealt.repartitionById(total, F.col("_part")).drop("_part")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    )
+    return folders
+
+
 def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list]:
     """Distinct bounds that cut each column into about equal shares; one pass, one row back."""
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(c, shares).alias(c) for c in columns]).first()
+    accuracy = max(10_000, 10 * buckets)
+    row = df.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in columns]).first()
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
-def with_z(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFrame:
+def with_z(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     """Curve position of each row, over buckets of about equal share.
 
     A column with few values has few buckets: they are moved up to its high bits, or it
     would only count after every other column.
     """
     bounds = quantile_bounds(df, columns, 1 << bits)
-    buckets = [
-        F.shiftleft(bucket_of(F.col(c), bounds[c]), bits - len(bounds[c]).bit_length())
-        for c in columns
-    ]
-    return df.withColumn(_Z, interleave(buckets, bits))
+    buckets = {
+        f"_b{n}": F.shiftleft(bucket_of(F.col(c), bounds[c]), bits - len(bounds[c]).bit_length())
+        for n, c in enumerate(columns)
+    }
+    placed = df.withColumns(buckets)
+    return placed.withColumn(_Z, interleave([F.col(b) for b in buckets], bits)).drop(*buckets)
+
+
+# --- which files of a clustered copy a filter needs -----------------------------------------
+
+
+def index_path(path: str) -> str:
+    return f"{path.rstrip('/')}_arquivos"
+
+
+def write_file_index(table: DataFrame, path: str, columns: Sequence[str], partitions: Sequence[str] = ()) -> None:
+    """Store, beside a table, a row per file: its partition, and the least and greatest value of some columns."""
+    bounds = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("lo", F.min), ("hi", F.max))]
+    table.groupBy(F.col("_metadata.file_path").alias("file"), *partitions).agg(*bounds).coalesce(1).write.mode(
+        "overwrite").parquet(index_path(path))
+
+
+def files_with(
+    spark: SparkSession, path: str, keys: Mapping[str, DataFrame], partitions: Mapping[str, Column]
+) -> list[str]:
+    """Files of an indexed table that may hold a row whose columns all have one of the wanted keys.
+
+    `keys` gives a one-column frame per indexed column, and `partitions` a condition per partition column.
+    """
+    index = spark.read.parquet(index_path(path))
+    for condition in partitions.values():
+        index = index.where(condition)
+    for column, wanted in keys.items():
+        if f"lo_{column}" in index.columns:
+            key = wanted.toDF("_key")
+            index = index.join(
+                key, F.col("_key").between(F.col(f"lo_{column}"), F.col(f"hi_{column}")), "left_semi")
+    # what is left is the list of files that the scan below needs on the driver anyway
+    return [unquote(r["file"]) for r in index.select("file").collect()]
+
+
+def read_files(spark: SparkSession, path: str, files: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Some files of a partitioned table."""
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*files).select(*schema.names)
 
 
 def zorder(
@@ -201,11 +329,12 @@ def zorder(
     """Copy a table to a new path with rows clustered along a Z-order curve.
 
     The range partitioning samples the curve, so dense stretches get more files. Rows that
-    share one curve position cannot be cut by it: `tie_break` columns split them further.
+    share one curve position cannot be cut by it: `tie_break` columns split them further. An index of the
+    copy's files is stored beside it, for readers that know which keys they want.
     """
     _, stored = file_stats(spark, source)
     parts = max(1, math.ceil(stored / target_bytes))
-    placed = with_z(read_table(spark, source, schema), columns)
+    placed = with_z(read_table(spark, source, schema), columns, bits_for(parts, len(columns)))
     ordered = placed.repartitionByRange(parts, *partitions, _Z, *tie_break).sortWithinPartitions(
         *partitions, _Z
     )
@@ -217,4 +346,5 @@ def zorder(
         .parquet(target)
     )
     stored = read_table(spark, target, placed.drop(_Z).schema)
+    write_file_index(stored, target, columns, partitions)
     return Written(target, seen.get["_rows"], stored.count(), frame=stored)

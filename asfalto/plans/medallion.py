@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from asfalto import schemas as S
 from asfalto.operators.layout import (
-    Written, has_data, partition_folders, read_table, remove_folders, stage, write_partitions, write_table, zorder,
+    TARGET_FILE_BYTES, Written, files_with, has_data, partition_folders, read_files, read_table, remove_folders, stage,
+    write_partitions, write_table, zorder,
 )
 from asfalto.operators.quality import gate_metrics, verdict
 from asfalto.plans import dims as D
@@ -172,13 +173,33 @@ def run(lake: Lake, raw: DataFrame) -> dict[str, Written]:
     return {SILVER: build_silver(lake, raw), **build_dims(lake), **build_facts(lake)}
 
 
-def optimize(lake: Lake, root: str) -> dict[str, Written]:
+class ClusteredLake(Lake):
+    """A lake whose facts are clustered copies in another folder, with an index of their files.
+
+    `narrowed` is what a report asks for a fact under filters: only files that may hold a row are listed and scanned.
+    """
+
+    def __init__(self, lake: Lake, root: str):
+        super().__init__(lake.spark, lake.root)
+        self.copies = root.rstrip("/")
+
+    def path(self, table: str) -> str:
+        return f"{self.copies}/{table}" if table in FACTS else super().path(table)
+
+    def narrowed(self, fact: str, keys: Mapping[str, DataFrame], own: Mapping[str, Column]) -> DataFrame:
+        """Rows of the files that may meet the wanted keys and the conditions on the fact's own columns."""
+        partitions = {c: condition for c, condition in own.items() if c in S.TABLES[fact][1]}
+        files = files_with(self.spark, self.path(fact), keys, partitions)
+        return read_files(self.spark, self.path(fact), files, S.TABLES[fact][0])
+
+
+def optimize(lake: Lake, root: str, target_bytes: int = TARGET_FILE_BYTES) -> dict[str, Written]:
     """Cluster the facts into a new folder; the old one stays readable meanwhile."""
     return _together(
         {
             table: lambda table=table: zorder(
                 lake.spark, lake.path(table), f"{root}/{table}", CLUSTERING[table],
-                partitions=["ano"], tie_break=["id_acidente"], schema=S.TABLES[table][0],
+                partitions=["ano"], tie_break=["id_acidente"], schema=S.TABLES[table][0], target_bytes=target_bytes,
             )
             for table in FACTS
         }

@@ -122,20 +122,27 @@ def restrict(star: Mapping[str, DataFrame], fact: str, where: Filters) -> DataFr
     has no relationship for does not reach it, and neither does another fact's column.
     A NULL among the wanted values also lets in rows without a dimension member.
     """
-    frame = star[fact]
+    columns = star[fact].columns
+    own = {c: matches(c, v) for c, v in where.items() if c in columns and c not in ATTRIBUTES}
     by_dimension: dict[str, dict] = {}
     for column, values in where.items():
-        if column in frame.columns and column not in ATTRIBUTES:
-            frame = frame.filter(matches(column, values))
-        elif column in ATTRIBUTES and _link(fact, ATTRIBUTES[column]):
+        if column not in own and column in ATTRIBUTES and _link(fact, ATTRIBUTES[column]):
             by_dimension.setdefault(ATTRIBUTES[column], {})[column] = values
-    for dimension, filters in by_dimension.items():
+    members = {
+        d: reduce(lambda rows, f: rows.filter(matches(*f)), filters.items(), star[d]).select(_link(fact, d))
+        for d, filters in by_dimension.items()
+    }
+    blank = {d for d, filters in by_dimension.items() if all(None in values for values in filters.values())}
+    if narrowed := getattr(star, "narrowed", None):
+        # a clustered copy: rows without a member can be in any file
+        frame = narrowed(fact, {_link(fact, d): m for d, m in members.items() if d not in blank}, own)
+    else:
+        frame = star[fact]
+    for condition in own.values():
+        frame = frame.filter(condition)
+    for dimension, wanted in members.items():
         key = _link(fact, dimension)
-        wanted = reduce(
-            lambda d, f: d.filter(matches(*f)), filters.items(), star[dimension]
-        ).select(key)
-        blank = all(None in values for values in filters.values())
-        if blank:
+        if dimension in blank:
             flagged = frame.join(wanted.withColumn("_hit", F.lit(True)), key, "left")
             frame = flagged.filter(F.col("_hit") | F.col(key).isNull()).drop("_hit")
         else:

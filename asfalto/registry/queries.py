@@ -260,6 +260,26 @@ def compact(spark, sf_dir):
     return _without_id(layout.read_table(spark, target, S.FATO_ACIDENTE))
 
 
+@query
+def compact_partitions(spark, sf_dir):
+    """A fact of which some years lie in many small files, merged year by year."""
+    path, fact = new_folder(spark, "crowded"), gold_lake(spark, sf_dir)[_FACT]
+    for many in (False, True):
+        some = fact.filter(F.coalesce(F.col("ano") % 2 == int(many), F.lit(not many)))
+        parts = some.repartition(9, "km") if many else some.coalesce(1)
+        parts.write.mode("append").partitionBy("ano").parquet(path)
+    layout.compact_partitions(spark, path, ["ano"], schema=S.FATO_ACIDENTE)
+    return _without_id(layout.read_table(spark, path, S.FATO_ACIDENTE))
+
+
+@query
+def clustered_slicers(spark, sf_dir):
+    """Measures under year, operator and road slicers, from the files of clustered copies that may hold their rows."""
+    lake, root = gold_lake(spark, sf_dir), new_folder(spark, "clustered")
+    medallion.optimize(lake, root, target_bytes=1 << 17)
+    return star.ask(medallion.ClusteredLake(lake, root), SLICED_MEASURES, ["ano"], CLUSTERED_SLICE)
+
+
 @query
 def zorder(spark, sf_dir):
     lake, target = gold_lake(spark, sf_dir), new_folder(spark, "zorder")
@@ -810,6 +830,10 @@ SLICES = {
         "severidade": ["Grave", "Leve", "Sem Vítimas"],
     },
 }
+# of one year, two operators and a few roads
+CLUSTERED_SLICE = {
+    "ano": [1997], "concessionaria": ["VIA040", "AUTOPISTA FLUMINENSE"], "rodovia": ["BR-101", "BR-116", "BR-125"],
+}
 SLICED_MEASURES = [
     "total_acidentes", "total_mortos", "acidentes_fatais", "taxa_mortalidade", "total_veiculos",
     "vitimas_detalhado",

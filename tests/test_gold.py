@@ -1,6 +1,8 @@
 """Dimensions, facts, measures and layout: invariants, plans, and small exact cases."""
 
+import os
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -303,6 +305,118 @@ def test_append_counts_only_its_own_rows(spark):
     assert (first.written, second.written) == (5, 3) and first.complete and second.complete
 
 
+def test_append_check_reads_only_its_own_files(spark, tmp_path, monkeypatch):
+    """Old files are not opened: one of them is no Parquet file at all. A concurrent writer's rows do not count."""
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    old = next((tmp_path / "t").glob("part-*.parquet"))
+    old.write_bytes(b"not a table")
+    (tmp_path / "t" / f".{old.name}.crc").unlink(missing_ok=True)
+    os.utime(old, (1, 1))
+    plain = layout._appended
+
+    def beside_another(spark, path, *rest):
+        spark.range(7).write.mode("append").parquet(path)
+        return plain(spark, path, *rest)
+
+    monkeypatch.setattr(layout, "_appended", beside_another)
+    done = layout.write_table(spark.range(5), path, mode="append")
+    assert (done.written, done.read_back) == (5, 5)
+    again = layout.write_table(spark.range(5), path, mode="append")
+    assert again.complete
+
+
+def test_append_check_sees_lost_rows(spark, tmp_path, monkeypatch):
+    path, plain = str(tmp_path / "t"), layout._appended
+
+    def after_a_loss(spark, path, *rest):
+        next((tmp_path / "t").glob("part-*.parquet")).unlink()
+        return plain(spark, path, *rest)
+
+    monkeypatch.setattr(layout, "_appended", after_a_loss)
+    done = layout.write_table(spark.range(100).repartition(4), path, mode="append")
+    assert done.written == 100 and not done.complete
+
+
+# --- file index, curve bits, compaction in place
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, lake):
+    root = new_folder(spark, "clustered-test")
+    medallion.optimize(lake, root, target_bytes=1 << 13)
+    return medallion.ClusteredLake(lake, root)
+
+
+def test_clustered_copies_give_the_same_answers(lake, clustered):
+    names = ["total_acidentes", "total_mortos", "acidentes_fatais", "total_veiculos", "vitimas_detalhado"]
+    for where in (
+        {"ano": [1997], "concessionaria": ["VIA040"], "rodovia": ["BR-101"]}, {"uf": ["SP", None]}, {},
+        {"severidade": ["Grave"], "concessionaria": ["VIA040"]}, {"rodovia": ["no such road"]}, {"ano": [None, 1996]},
+    ):
+        plain = star.ask(lake, names, ["ano", "uf"], where)
+        assert sorted(map(tuple, star.ask(clustered, names, ["ano", "uf"], where).collect()), key=str) == sorted(
+            map(tuple, plain.collect()), key=str)
+
+
+def test_filters_choose_files_by_the_index(lake, clustered):
+    known = lake["silver_acidentes"].where("ano = 1997 and rodovia is not null and uf is not null")
+    one = known.orderBy("concessionaria", "rodovia").first()
+    where = {"ano": [1997], "concessionaria": [one["concessionaria"]], "rodovia": [one["rodovia"]]}
+    for fact in (star.ACCIDENTS, star.VEHICLES):
+        every = len(lake.spark.read.parquet(clustered.path(fact)).inputFiles())
+        chosen = star.restrict(clustered, fact, where).inputFiles()
+        read = {f for f in chosen if f"/{fact}/" in f}
+        assert every >= 9 and 0 < len(read) < every / 3
+        # and among the files of the year, the operator alone rules some out
+        year = {f for f in star.restrict(clustered, fact, {"ano": [1997]}).inputFiles() if f"/{fact}/" in f}
+        assert read <= year
+
+
+def test_bits_follow_the_number_of_files():
+    assert zcurve.bits_for(1, 3) == 2 and zcurve.bits_for(1 << 15, 3) == 7
+    assert zcurve.bits_for(1 << 60, 3) == 20 and zcurve.bits_for(0, 1) == 6
+
+
+def test_buckets_past_the_old_limit(spark):
+    bounds = list(range(0, 10_000, 3))
+    frame = spark.range(-5, 10_010)
+    got = frame.select(zcurve.bucket_of(F.col("id"), bounds).alias("b"), "id").collect()
+    assert all(r.b == sum(x <= r.id for x in bounds[max(0, r.b - 3) : r.b + 3]) + max(0, r.b - 3) for r in got)
+
+
+def files_of(path):
+    return {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+
+
+def test_only_crowded_directories_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(4000).select("id", (F.col("id") % 4).cast("int").alias("ano"))
+    rows.where("ano < 3").coalesce(1).write.partitionBy("ano").parquet(path)
+    null = rows.where("ano = 3").withColumn("ano", F.lit(None).cast("int"))
+    for part in (rows.where("ano = 3"), null):
+        part.repartition(6).write.mode("append").partitionBy("ano").parquet(path)
+    before, want = files_of(path), sorted(map(tuple, spark.read.parquet(path).collect()), key=str)
+    changed = layout.compact_partitions(spark, path, ["ano"], target_bytes=1 << 20)
+    after = files_of(path)
+    assert sorted(f.rsplit("=", 1)[1] for f in changed) == ["3", "__HIVE_DEFAULT_PARTITION__"]
+    kept = {p for p in before if "ano=0" in str(p) or "ano=1" in str(p) or "ano=2" in str(p)}
+    assert {p: before[p] for p in kept} == {p: t for p, t in after.items() if p in kept}
+    assert len(after) == len(kept) + 2
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == want
+    assert layout.compact_partitions(spark, path, ["ano"], target_bytes=1 << 20) == []
+
+
+def test_merged_files_are_about_the_target(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("v"), F.lit(1).alias("ano"))
+    rows.repartition(40).write.partitionBy("ano").parquet(path)
+    stored = sum(p.stat().st_size for p in files_of(path))
+    layout.compact_partitions(spark, path, ["ano"], target_bytes=stored // 4)
+    sizes = [p.stat().st_size for p in files_of(path)]
+    assert 4 <= len(sizes) <= 5 and stored / 8 < sum(sizes) / len(sizes) < stored / 2
+
+
 def test_silver_write_takes_the_quality_metrics_along(spark):
     lake = medallion.Lake(spark, new_folder(spark, "t-lake"))
     raw = raw_rows(spark, SMALL)
