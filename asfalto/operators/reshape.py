@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 QUANTITY = "quantidade"
 
 
+def positive(rows: DataFrame) -> DataFrame:
+    """Long rows with a quantity over zero; an unknown quantity is none."""
+    return rows.filter(F.col(QUANTITY) > 0)
+
+
 def unpivot_counts(df: DataFrame, ids: list[str], counts: list[str], label: str) -> DataFrame:
     """One row per count column whose value is positive.
 
@@ -15,4 +20,4 @@ def unpivot_counts(df: DataFrame, ids: list[str], counts: list[str], label: str)
     runs in the same generated code as the expansion.
     """
     some = F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in counts]) > 0
-    return df.filter(some).unpivot(ids, counts, label, QUANTITY).filter(F.col(QUANTITY) > 0)
+    return positive(df.filter(some).unpivot(ids, counts, label, QUANTITY))

@@ -261,3 +261,39 @@ def drill_through(star: Mapping[str, DataFrame], accident_ids: DataFrame) -> dic
     """
     ids = accident_ids.select("id_acidente").distinct()
     return {fact: star[fact].join(ids, "id_acidente", "left_semi") for fact in (ACCIDENTS, VEHICLES, VICTIMS)}
+
+
+def accident_cards(star: Star, accident_ids: DataFrame | None = None) -> DataFrame:
+    """One row per accident (all, or those of the given ids) with what the three facts say of it, nested.
+
+    The id is a hash of five columns and no key, so an accident here is what these five say: date, operator, kilometre,
+    hour and type. `acidentes` has a struct for each row of the accident fact; `veiculos` and `vitimas` one
+    per type with its quantity. Each fact is folded to a row per accident before they meet, so nothing multiplies.
+    Children know only the id: if two accidents share one by collision, both show its children, and
+    `colisao` is true.
+    """
+    frames = {f: star[f] for f in (ACCIDENTS, VEHICLES, VICTIMS)}
+    if accident_ids is not None:
+        frames = drill_through(star, accident_ids)
+    named = frames[ACCIDENTS]
+    for dimension in ("gold_dim_data", "gold_dim_concessionaria", "gold_dim_tipo_acidente", "gold_dim_rodovia"):
+        key = _link(ACCIDENTS, dimension)
+        own = [c for c in star[dimension].columns if c not in named.columns or c == key]
+        named = named.join(star[dimension].select(*own), key, "left")
+    five = ["data", "concessionaria", "km", "hora", "tipo_de_acidente"]
+    row = F.struct("rodovia", "uf", "sentido", "tipo_de_ocorrencia", "severidade", "total_veiculos", "total_vitimas",
+                   "mortos")
+    cards = named.groupBy("id_acidente", *five).agg(F.sort_array(F.collect_list(row)).alias("acidentes"))
+    shared = cards.groupBy("id_acidente").agg((F.count(F.lit(1)) > 1).alias("colisao"))
+    cards = cards.join(shared, "id_acidente")
+    for fact, dimension, label, name in (
+        (VEHICLES, "gold_dim_veiculo", "tipo_veiculo", "veiculos"),
+        (VICTIMS, "gold_dim_tipo_vitima", "tipo_vitima", "vitimas"),
+    ):
+        key = _link(fact, dimension)
+        sums = frames[fact].groupBy("id_acidente", key).agg(F.sum("quantidade").alias("quantidade"))
+        typed = sums.join(star[dimension], key, "left").select("id_acidente", F.struct(label, "quantidade").alias("_r"))
+        folded = typed.groupBy("id_acidente").agg(F.sort_array(F.collect_list("_r")).alias(name))
+        cards = cards.join(folded, "id_acidente", "left")
+    empty = {n: F.coalesce(n, F.array().cast(cards.schema[n].dataType)).alias(n) for n in ("veiculos", "vitimas")}
+    return cards.select("id_acidente", *five, "acidentes", empty["veiculos"], empty["vitimas"], "colisao")

@@ -420,9 +420,9 @@ def filter_not_null(spark, sf_dir):
 
 @query
 def filter_positive(spark, sf_dir):
-    return gold_lake(spark, sf_dir)["gold_fato_veiculo_acidente"].filter("quantidade > 0").groupBy(
-        "quantidade"
-    ).agg(F.count("*").alias("linhas"))
+    """Counts by value once zeros and unknown counts, most of all cells, are filtered out."""
+    cells = _silver(spark, sf_dir).select(*S.VEHICLES).unpivot([], S.VEHICLES, "tipo_veiculo", "quantidade")
+    return reshape.positive(cells).groupBy("quantidade").agg(F.count("*").alias("linhas"))
 
 
 @query
@@ -647,6 +647,18 @@ def drill_through(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def accident_cards(spark, sf_dir):
+    """Every accident's card, its nested rows counted and added up."""
+    cards = star.accident_cards(gold_lake(spark, sf_dir))
+    total = lambda rows, field: F.aggregate(rows, F.lit(0).cast("long"), lambda n, r: n + r[field])
+    return cards.select(
+        "data", "concessionaria", "km", "hora", "tipo_de_acidente", F.size("acidentes").cast("long").alias("acidentes"),
+        total("veiculos", "quantidade").alias("veiculos"), total("vitimas", "quantidade").alias("vitimas"),
+        F.size("veiculos").alias("tipos_veiculo"), F.size("vitimas").alias("tipos_vitima"),
+    )
+
+
 @query
 def drill_across(spark, sf_dir):
     return star.ask(
@@ -743,7 +755,9 @@ def order_desc(spark, sf_dir):
 
 @query
 def order_by_date(spark, sf_dir):
-    return gold_lake(spark, sf_dir)["gold_dim_data"].orderBy("data")
+    """The dates, each with its place in the order."""
+    dates = gold_lake(spark, sf_dir)["gold_dim_data"]
+    return dates.join(keys.surrogate_key(dates.select("data"), ["data"], "posicao"), "data").orderBy("data")
 
 
 @query

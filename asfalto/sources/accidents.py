@@ -28,6 +28,7 @@ ACCIDENT_TYPES = [
     "Saida de pista", "Atropelamento", "Engavetamento", "Choque", "Incendio",
     "Queda de moto", "Outros",
 ]
+UNREADABLE = "n/d"  # a count that is no number
 VICTIM_CYCLES = [5, 8, 12, 20, 50]
 
 _TEXT = "string"
@@ -50,12 +51,14 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def vehicle(i: int) -> Column:
         count = F.greatest(F.lit(0), (part * (i + 1) + line) % 7 - 4)
-        return F.when((part + i) % 61 == 0, F.lit(None)).otherwise(count.cast(_TEXT))
+        return F.when((part + i) % 61 == 0, F.lit(None)).when((part + i) % 109 == 0, UNREADABLE).otherwise(
+            count.cast(_TEXT))
 
     def victim(j: int) -> Column:
         cycle = VICTIM_CYCLES[j]
         count = F.greatest(F.lit(0), (part * (j + 2) + line * 3) % cycle - (cycle - 3))
-        return F.when((part + j) % 67 == 0, F.lit(None)).otherwise(count.cast(_TEXT))
+        return F.when((part + j) % 67 == 0, F.lit(None)).when((part + j) % 127 == 0, UNREADABLE).otherwise(
+            count.cast(_TEXT))
 
     written_day = F.concat_ws(
         "/", _two_digits(F.dayofmonth(day)), _two_digits(F.month(day)), F.year(day).cast(_TEXT)
@@ -66,7 +69,7 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     columns = {
         "data": F.when(part % 97 == 0, "99/99/9999").when(part % 89 == 0, F.lit(None)).otherwise(written_day),
-        "horario": F.concat(_two_digits(part % 24), F.lit(":30:00")),
+        "horario": F.concat(F.when(part % 103 == 0, "--").otherwise(_two_digits(part % 24)), F.lit(":30:00")),
         "km": F.when(part % 53 == 0, F.lit(None))
         .when(part % 59 == 0, "1.234,5")
         .otherwise(F.concat_ws(",", (part % 900).cast(_TEXT), (quantity % 10).cast(_TEXT))),
