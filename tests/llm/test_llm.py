@@ -360,6 +360,59 @@ def test_network_learns_and_keeps_recall():
     assert secret_cnn.fit(np.stack(codes[:5]), labels[:5]) is None
 
 
+def test_gradients_agree_with_differences():
+    rng = np.random.default_rng(1)
+    network = secret_cnn.Network.start(2, width=3, filters=4)
+    network.embedding, network.filters, network.filter_bias, network.out, network.out_bias = (
+        w.astype(np.float64) for w in network.weights)
+    codes = rng.integers(0, secret_cnn.SYMBOLS, (6, secret_cnn.LENGTH)).astype(np.uint8)
+    labels = rng.integers(0, 2, 6).astype(np.float64)
+
+    def loss():
+        logits = network.logits(codes).astype(np.float64)
+        return float(np.mean(np.logaddexp(0, logits) - labels * logits))
+
+    for weights, gradient in zip(network.weights, network.gradients(codes, labels)):
+        flat, found = weights.reshape(-1), gradient.reshape(-1)
+        for n in rng.choice(flat.size, min(25, flat.size), replace=False):
+            kept = flat[n]
+            flat[n] = kept + 1e-5
+            above = loss()
+            flat[n] = kept - 1e-5
+            below = loss()
+            flat[n] = kept
+            assert abs((above - below) / 2e-5 - found[n]) < 1e-4
+
+
+def test_windows_take_in_all_of_a_candidate():
+    text = "x " + "".join(chr(65 + n % 26) for n in range(133)) + " y"
+    codes = list(secret_cnn.windows(text, 2, 135))
+    inner = [c[secret_cnn.BEFORE : secret_cnn.BEFORE + secret_cnn.WITHIN] for c in codes]
+    assert len(codes) == 6 and all((w > 0).all() for w in inner)
+    whole = secret_cnn.window(text, 95, 135)
+    assert (codes[-1] == whole).all()
+    assert len(list(secret_cnn.windows(text, 2, 14))) == 1
+
+
+def test_secrets_past_the_first_window_and_without_digits(spark):
+    """Words of twelve letters are candidates that the network turns down; a late or letters-only secret is not lost."""
+    rng = np.random.default_rng(4)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    rows = []
+    for n in range(400):
+        words = " ".join(pick("aeioulnrst", 13) for _ in range(6))
+        rows.append((n, f"{words} key {pick('0123456789abcdef', 40)} {words} password: {pick('QWXZKJV', 24)} end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = secret_cnn.train(docs)
+    assert network.recall >= secret_cnn.RECALL - 0.02
+    late = f"{'lorentinasel' * 5}{pick('QWXZKJV', 40)}"
+    text = f"see {late} and {pick('QWXZKJV', 30)} but not internationalisation {pick('aeioulnrst', 13)} here"
+    (row,) = secret_cnn.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), network).collect()
+    spans = [tuple(map(int, s.split(":")[1:])) for s in row.spans.split(",")]
+    found = [text[a:b] for a, b in spans]
+    assert late in found and len(found) == 2 and "internationalisation" not in found
+
+
 def test_secrets_of_odd_tables(odd, empty):
     rows = secret_cnn.scan(odd, secret_cnn.train(odd)).collect()
     assert len(rows) == len(ODD) and [r.spans for r in rows if r.doc_id == 6] == ["assign:0:28"]
