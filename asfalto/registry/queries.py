@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from asfalto import schemas as S
 from asfalto.functions import calendar, rows
 from asfalto.operators import keys, layout, quality, reshape
-from asfalto.plans import dashboard, dims, facts, medallion, pages, star
+from asfalto.plans import catalogue, dashboard, dims, facts, medallion, pages, star
 from asfalto.plans import silver as cleaning
 from asfalto.registry.lakes import gold_lake, silver_lake
 from asfalto.session import new_folder
@@ -136,6 +136,25 @@ def table_scan(spark, sf_dir):
     return silver_lake(spark, sf_dir)[_SILVER]
 
 
+def _named_lake(spark: SparkSession, sf_dir: str) -> catalogue.NamedLake:
+    """The gold lake's files under names of the catalogue."""
+    lake = gold_lake(spark, sf_dir)
+    named = catalogue.NamedLake(spark, lake.root, f"asfalto_{abs(hash(lake.root))}")
+    named.register_all()
+    return named
+
+
+@query
+def tables_by_name(spark, sf_dir):
+    return catalogue.fatal_by_road(_named_lake(spark, sf_dir))
+
+
+@query
+def catalogue_listing(spark, sf_dir):
+    """Columns and rows of every table, as the catalogue's statistics tell them."""
+    return _named_lake(spark, sf_dir).listing()
+
+
 @query
 def static_relation(spark, sf_dir):
     """The operator lookup with the raw rows that each entry names."""

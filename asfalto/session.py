@@ -60,6 +60,16 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/asfalto/{spark.sparkContext.applicationId}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete everything this application has stored in the shared folder; for when its results are written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
-    return f"{shared_root(spark)}/asfalto/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -1,8 +1,9 @@
 """Time the pipeline and the reports; prints one JSON line.
 
 Input tables come from $BENCH_SF_DIR, and the session is local[$BENCH_CPUS]. The raw CSV files are
-written from `lineitem` before the clock starts. Everything runs $BENCH_RUNS times in one session;
-`runs` holds the total of each, the first with cold code, and `queries` the steps of the fastest.
+written from `lineitem` before the clock starts. Everything runs $BENCH_RUNS times in one session:
+`value` and `queries` are of the run in the middle, `runs` holds the total of each, and `first` the steps of the
+first, with cold code.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ import time
 from pathlib import Path
 
 from asfalto.operators import layout
-from asfalto.plans import dashboard, medallion, star
+from asfalto.plans import dashboard, medallion, pages, star
 from asfalto.registry.queries import SLICED_MEASURES, SLICES
-from asfalto.session import new_folder, session
+from asfalto.session import new_folder, remove_staged, session
 from asfalto.sources.accidents import raw_rows
 from asfalto.sources.csv_files import read_folder, write_folder
 
@@ -26,7 +27,8 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def total(seconds: dict[str, float]) -> float:
-    return round(sum(v for k, v in seconds.items() if k != "pipeline_csv_to_gold"), 3)
+    """Of the steps that every round has had; whole pages come on top of the visuals they consist of."""
+    return round(sum(v for k, v in seconds.items() if k != "pipeline_csv_to_gold" and k not in pages.PAGES), 3)
 
 
 def landed(spark, sf_dir: str) -> str:
@@ -48,6 +50,8 @@ def reports(lake: medallion.Lake, timed) -> None:
         timed(name, lambda: dashboard.visual(lake, name).collect())
     for name, where in SLICES.items():
         timed(name, lambda: star.ask(lake, SLICED_MEASURES, ["ano"], where).collect())
+    for name in pages.PAGES:
+        timed(name, lambda: pages.report(lake, name, SLICES["slicers_combined"]).collect())
 
 
 def main() -> None:
@@ -81,14 +85,15 @@ def main() -> None:
         timed("compact_fact", lambda: layout.compact(
             spark, lake.path("gold_fato_acidente"), new_folder(spark, "bench-compact"), ["ano"]))
         runs.append(dict(seconds))
-    best = min(runs, key=total)
+    middle = sorted(runs, key=total)[len(runs) // 2]
     rows = {t: lake[t].count() for t in ("silver_acidentes", *medallion.FACTS)}
     print(json.dumps({
-        "metric": "pipeline and reports, wall time", "value": total(best), "unit": "sec",
-        "queries": best, "sf": Path(SF_DIR).name.removeprefix("sf"), "cpus": CPUS, "rows": rows,
-        "runs": [total(run) for run in runs],
+        "metric": "pipeline and reports, wall time", "value": total(middle), "unit": "sec",
+        "queries": middle, "sf": Path(SF_DIR).name.removeprefix("sf"), "cpus": CPUS, "rows": rows,
+        "runs": [total(run) for run in runs], "first": runs[0],
     }))
     sys.stdout.flush()
+    remove_staged(spark)
     spark.stop()
 
 

@@ -338,6 +338,43 @@ def test_append_check_sees_lost_rows(spark, tmp_path, monkeypatch):
     assert done.written == 100 and not done.complete
 
 
+# --- accident cards
+
+
+def test_cards_multiply_nothing(lake):
+    cards = star.accident_cards(lake)
+    rows = cards.select(
+        F.size("acidentes").alias("n"),
+        F.expr("aggregate(acidentes, 0L, (s, a) -> s + a.total_veiculos)").alias("veiculos"),
+        F.expr("aggregate(veiculos, 0L, (s, v) -> s + v.quantidade)").alias("soma_veiculos"),
+        F.expr("aggregate(acidentes, 0L, (s, a) -> s + a.total_vitimas)").alias("vitimas"),
+        F.expr("aggregate(vitimas, 0L, (s, v) -> s + v.quantidade)").alias("soma_vitimas"), "colisao",
+    )
+    assert rows.where("veiculos <> soma_veiculos or vitimas <> soma_vitimas or colisao").count() == 0
+    assert rows.agg(F.sum("n")).first()[0] == lake[star.ACCIDENTS].count()
+    assert cards.count() == lake["silver_acidentes"].select(
+        "data", "concessionaria", "km", "hora", "tipo_de_acidente").distinct().count()
+
+
+def test_cards_of_some_accidents(lake):
+    ids = lake[star.ACCIDENTS].where("severidade = 'Fatal' and total_veiculos = 0").limit(3)
+    cards = star.accident_cards(lake, ids).collect()
+    assert {c.id_acidente for c in cards} == {r.id_acidente for r in ids.collect()}
+    assert all(c.veiculos is not None and c.vitimas for c in cards)
+
+
+def test_accidents_that_share_an_id_are_told_apart(lake):
+    """Two accidents of different columns under one id: two cards, marked, each with all children of the id."""
+    fact = lake[star.ACCIDENTS].where("total_veiculos > 0 and km is not null").limit(2).withColumn(
+        "id_acidente", F.lit(7).cast("long"))
+    rows = fact.withColumn("km", F.monotonically_increasing_id().cast("double"))
+    child = lake[star.VEHICLES].limit(1).withColumn("id_acidente", F.lit(7).cast("long"))
+    tables = {t: lake[t] for t in lake} | {star.ACCIDENTS: rows.cache(), star.VEHICLES: child.cache()}
+    cards = star.accident_cards(tables).collect()
+    assert len(cards) == 2 and all(c.colisao and len(c.veiculos) == 1 and len(c.acidentes) == 1 for c in cards)
+    assert all(c.vitimas == [] for c in cards)
+
+
 # --- file index, curve bits, compaction in place
 
 
