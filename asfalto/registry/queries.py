@@ -169,13 +169,18 @@ def static_relation(spark, sf_dir):
     )
 
 
-@query
-def landing_manifest(spark, sf_dir):
-    """Files of operators from r on have landed without their last column."""
+def _part_faulty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Files of all operators, those from r on without their last column."""
     folder, raw = new_folder(spark, "csv-manifest"), raw_rows(spark, sf_dir)
     late = F.col(S.FILE_COLUMN) >= "Files/bronze/acidentes/demostrativo_acidentes_r"
     csv_files.write_folder(raw.filter(~late), folder)
     csv_files.write_folder(raw.filter(late), folder, columns=S.RAW_COLUMNS[:-1])
+    return folder
+
+
+@query
+def landing_manifest(spark, sf_dir):
+    folder = _part_faulty_csv(spark, sf_dir)
     found, faulty = landing.landed(spark, folder), landing.unreadable(spark, folder)
     return landing.manifest(landing.catalogue(spark), found, faulty)
 
@@ -183,8 +188,9 @@ def landing_manifest(spark, sf_dir):
 @query
 def landing_report(spark, sf_dir):
     """Counts by status of the landed files; their sizes depend on the CSV writer and are left out."""
-    found = landing.landed(spark, _landed_csv(spark, sf_dir))
-    return landing.report(landing.catalogue(spark), found).drop("total_mb")
+    folder = _part_faulty_csv(spark, sf_dir)
+    found, faulty = landing.landed(spark, folder), landing.unreadable(spark, folder)
+    return landing.report(landing.catalogue(spark), found, faulty).drop("total_mb")
 
 
 @query

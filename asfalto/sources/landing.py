@@ -55,20 +55,26 @@ def manifest(
     return files.select("filename", "concessionaria", status.alias("status"), "motivo")
 
 
-def report(catalogued: DataFrame, found: DataFrame) -> DataFrame:
+def report(catalogued: DataFrame, found: DataFrame, faulty: DataFrame | None = None) -> DataFrame:
     """Files and MB per status, from the listing; a landed file that no source is known for is an error.
 
-    Such files are listed by name, which somebody has to read.
+    So is one in `faulty`. Such files are listed by name, with the reason where there is one, for somebody to read.
     """
     known = catalogued.select("filename", "concessionaria").join(found, "filename", "full_outer")
+    if faulty is None:
+        known = known.withColumn("motivo", F.lit(None).cast("string"))
+    else:
+        known = known.join(faulty, "filename", "left")
     status = (
-        F.when(F.col("concessionaria").isNull(), FAILED).when(F.col("bytes").isNull(), PENDING).otherwise(LANDED)
+        F.when(F.col("concessionaria").isNull() | F.col("motivo").isNotNull(), FAILED)
+        .when(F.col("bytes").isNull(), PENDING).otherwise(LANDED)
     )
+    named = F.concat_ws(": ", "filename", "motivo")
     return known.withColumn("status", status).groupBy("status").agg(
         F.count(F.lit(1)).alias("arquivos"),
         F.round(F.coalesce(F.sum("bytes"), F.lit(0)) / 1024**2, 1).alias("total_mb"),
         F.concat_ws(
-            ", ", F.sort_array(F.collect_list(F.when(F.col("status") == FAILED, F.col("filename"))))
+            ", ", F.sort_array(F.collect_list(F.when(F.col("status") == FAILED, named)))
         ).alias("com_erro"),
     )
 

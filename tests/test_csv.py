@@ -104,6 +104,17 @@ def test_manifest_and_sizes(spark, tmp_path):
     report = {r["status"]: r for r in landing.report(landing.catalogue(spark), found).collect()}
     assert report["erro"]["com_erro"] == NAME.format("novanova") and report["skip"]["arquivos"] == 1
     assert report["pendente"]["arquivos"] == 34
+    put(tmp_path, "afl", [line()] * 50_000)
+    put(tmp_path, "arb", [line()] * 9, NAMES[1:])
+    found = landing.landed(spark, str(tmp_path))
+    report = {r["status"]: r for r in landing.report(
+        landing.catalogue(spark), found, landing.unreadable(spark, str(tmp_path))).collect()}
+    failed = [NAME.format("arb"), NAME.format("novanova")]
+    unknown = {"novanova", "afl", "arb"} - set(S.OPERATOR_NAMES)
+    assert sum(r["arquivos"] for r in report.values()) == 35 + len(unknown)
+    assert all(f in report["erro"]["com_erro"] for f in failed) and "sem coluna data" in report["erro"]["com_erro"]
+    stored = sum(p.stat().st_size for p in tmp_path.glob("*.csv"))
+    assert stored > 2 << 20 and abs(sum(r["total_mb"] for r in report.values()) - stored / 1024**2) <= 0.15
     names = [r["filename"] for r in landing.sizes(found).collect()]
     assert names == sorted(names)
 
