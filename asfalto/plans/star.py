@@ -109,6 +109,11 @@ def _link(fact: str, dimension: str) -> str | None:
     return next((k for f, k, d in RELATIONSHIPS if (f, d) == (fact, dimension)), None)
 
 
+def _columns(star: Star, fact: str) -> Sequence[str]:
+    """Columns of a fact; of a clustered copy without opening it, which would list all its files."""
+    return S.TABLES[fact][0].names if hasattr(star, "narrowed") else star[fact].columns
+
+
 def matches(column: str, values: Sequence) -> Column:
     known = [v for v in values if v is not None]
     hit = F.col(column).isin(known)
@@ -122,7 +127,7 @@ def restrict(star: Mapping[str, DataFrame], fact: str, where: Filters) -> DataFr
     has no relationship for does not reach it, and neither does another fact's column.
     A NULL among the wanted values also lets in rows without a dimension member.
     """
-    columns = star[fact].columns
+    columns = _columns(star, fact)
     own = {c: matches(c, v) for c, v in where.items() if c in columns and c not in ATTRIBUTES}
     by_dimension: dict[str, dict] = {}
     for column, values in where.items():
@@ -159,7 +164,7 @@ def split_grouping(
         dimension = ATTRIBUTES.get(column)
         if dimension and (key := _link(fact, dimension)):
             dimensions.setdefault((dimension, key), []).append(column)
-        elif dimension or column not in star[fact].columns:
+        elif dimension or column not in _columns(star, fact):
             raise ValueError(f"{fact} cannot be grouped by {column}")
     return dimensions, [c for c in by if c not in ATTRIBUTES]
 
