@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CELLS_PER_FILE = 64  # so that ranges of the curve can be cut evenly, and row groups differ within a file
+MOST_COMPARED = 64  # bounds of a column that are compared one by one
 
 
 def bits_for(files: int, columns: int) -> int:
@@ -18,12 +19,13 @@ def bits_for(files: int, columns: int) -> int:
 
 
 def bucket_of(value: Column, bounds: list) -> Column:
-    """How many of the ascending bounds lie at or below the value, found by halving one constant array.
+    """How many of the ascending bounds lie at or below the value, found by halving them.
 
-    NULL compares as unknown with every bound and so lands in the first bucket.
+    A few bounds are a tree of comparisons, which Spark compiles; many are one constant array, walked by a lambda,
+    which it does not. NULL compares as unknown with every bound and so lands in the first bucket.
     """
-    if not bounds:
-        return F.lit(0)
+    if len(bounds) <= MOST_COMPARED:
+        return _compared(value, bounds, 0)
     table = F.array(*[F.lit(b) for b in bounds])
     steps = [1 << n for n in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
@@ -32,6 +34,14 @@ def bucket_of(value: Column, bounds: list) -> Column:
     )
 
 
+def _compared(value: Column, bounds: list, before: int) -> Column:
+    if not bounds:
+        return F.lit(before)
+    half = len(bounds) // 2
+    above = _compared(value, bounds[half + 1 :], before + half + 1)
+    return F.when(value >= bounds[half], above).otherwise(_compared(value, bounds[:half], before))
+
+
 def interleave(buckets: list[Column], bits: int) -> Column:
     """Bit i of bucket j becomes bit i * len(buckets) + j of the result."""
     width = len(buckets)
