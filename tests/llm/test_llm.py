@@ -413,6 +413,21 @@ def test_secrets_past_the_first_window_and_without_digits(spark):
     assert late in found and len(found) == 2 and "internationalisation" not in found
 
 
+def test_network_learns_from_every_document(spark):
+    """Findings of all documents are counted, and those dealt over several tasks give a network that works."""
+    rng = np.random.default_rng(4)
+    hexes = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(600)]
+    texts = [f"note {n}: {h} and then extraordinary number {n}-{n * 7919 + 10**11} follows" for n, h in enumerate(hexes)]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts + texts[:50])], "doc_id long, text string")
+    sums = {r.kind: r.n for r in secret_cnn.findings(docs).groupBy("kind").sum("n").toDF("kind", "n").collect()}
+    assert sums == {secret_cnn._SECRET: 650, secret_cnn._PLAIN: 650, secret_cnn._NUMBERED: 650}
+    network = secret_cnn.train(docs, share=500)
+    assert network.recall >= secret_cnn.RECALL
+    text = "note 9: " + "0a1b2c3d4e5f" * 3 + " and then extraordinary number follows"
+    (row,) = secret_cnn.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), network).collect()
+    assert "model" not in row.spans
+
+
 def test_secrets_of_odd_tables(odd, empty):
     rows = secret_cnn.scan(odd, secret_cnn.train(odd)).collect()
     assert len(rows) == len(ODD) and [r.spans for r in rows if r.doc_id == 6] == ["assign:0:28"]
