@@ -95,26 +95,40 @@ def other_candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     ]
 
 
-def window(text: str, start: int, end: int) -> np.ndarray:
-    """Codes of the characters around and in a candidate, and where it lies."""
-    pieces = (
-        text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0"),
-        text[start : min(end, start + WITHIN)].ljust(WITHIN, "\0"),
-        text[end : end + AFTER].ljust(AFTER, "\0"),
+def _surroundings(text: str, start: int, end: int) -> str:
+    """The characters around and in a candidate, LENGTH of them."""
+    return (
+        text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0")
+        + text[start : min(end, start + WITHIN)].ljust(WITHIN, "\0")
+        + text[end : end + AFTER].ljust(AFTER, "\0")
     )
-    codes = np.frombuffer("".join(pieces).encode("utf-32-le"), "<u4")
+
+
+def _coded(surroundings: list[str]) -> np.ndarray:
+    """Codes of their characters, a row for each."""
+    codes = np.frombuffer("".join(surroundings).encode("utf-32-le"), "<u4").reshape(-1, LENGTH)
     printable = (codes >= 32) & (codes < 127)
     return np.where(printable, codes - 31, np.where(codes == 0, 0, np.where(codes == 10, 96, 97))).astype(
         np.uint8
     )
 
 
-def windows(text: str, start: int, end: int) -> Iterator[np.ndarray]:
-    """Windows over the whole of a candidate, the last one at its end."""
+def window(text: str, start: int, end: int) -> np.ndarray:
+    """Codes of the characters around and in a candidate, and where it lies."""
+    return _coded([_surroundings(text, start, end)])[0]
+
+
+def _slid(text: str, start: int, end: int) -> Iterator[str]:
+    """Surroundings over the whole of a candidate, the last at its end."""
     last = max(start, end - WITHIN)
     for at in range(start, last, STEP):
-        yield window(text, at, at + WITHIN)
-    yield window(text, last, end)
+        yield _surroundings(text, at, at + WITHIN)
+    yield _surroundings(text, last, end)
+
+
+def windows(text: str, start: int, end: int) -> Iterator[np.ndarray]:
+    """Windows over the whole of a candidate, the last one at its end."""
+    yield from _coded([*_slid(text, start, end)])
 
 
 def render(spans: list[Span]) -> str:
@@ -305,12 +319,12 @@ def findings(docs: DataFrame) -> DataFrame:
                 for kind, a, b in [(_SECRET, a, b) for a, _, b in spans] + [
                     (_NUMBERED if _DIGIT.search(text, a, b) else _PLAIN, a, b) for a, b in others
                 ]:
-                    seen = [w.tobytes() for w in windows(text, a, b)]
+                    seen = [*_slid(text, a, b)]
                     codes += seen
                     kinds += [kind] * len(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.binary()), pa.array(kinds, pa.int32())], names=["codes", "kind"]
-            )
+            flat = pa.py_buffer(_coded(codes).tobytes())
+            rows = pa.Array.from_buffers(pa.binary(LENGTH), len(codes), [None, flat]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([rows, pa.array(kinds, pa.int32())], names=["codes", "kind"])
 
     found = texts.mapInArrow(labelled, "codes binary, kind int").groupBy("codes", "kind").agg(
         F.count(F.lit(1)).alias("n"))
@@ -396,7 +410,7 @@ class _Scanner:
             found[n] = base_spans(text, *(bool(f[n]) for f in flags[:3]))
             if self._network and flags[3][n]:
                 for a, b in other_candidates(text, found[n]):
-                    for seen in windows(text, a, b):
+                    for seen in _slid(text, a, b):
                         owners.append(n)
                         places.append((a, b))
                         codes.append(seen)
@@ -408,7 +422,7 @@ class _Scanner:
 
     def _judge(self, found, owners, places, codes) -> None:
         if codes:
-            likely = self._network.probabilities(np.stack(codes)) >= self._network.threshold
+            likely = self._network.probabilities(_coded(codes)) >= self._network.threshold
             for owner, (a, b), yes in zip(owners, places, likely):
                 if yes:
                     found[owner].append((a, KINDS.index("model"), b))
