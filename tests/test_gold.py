@@ -474,3 +474,26 @@ def test_published_tables_answer_sql(lake):
     assert got == lake[star.ACCIDENTS].count()
 
 
+
+
+def test_few_directories_are_written_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 3).withColumn("ano", (F.col("id") % 4).cast("int"))
+    done = layout.write_table(rows, str(tmp_path / "t"), partitions=["ano"], gather=False)
+    assert done.complete and done.written == 3000
+    assert all(len(list(d.glob("*.parquet"))) == 3 for d in (tmp_path / "t").glob("ano=*"))
+
+
+def test_cards_shuffle_each_fact_once(lake):
+    """One exchange a fact; grouping by more columns, the collision flag and the joins need no other."""
+    cards = star.accident_cards(lake)
+    plan = cards._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 3, plan
+
+
+def test_few_bounds_are_compared_and_give_the_same_buckets(spark):
+    bounds = list(range(0, 200, 2))
+    values = spark.createDataFrame([(v,) for v in [None, *range(-3, 205)]], "v int")
+    for some in (bounds[:1], bounds[:7], bounds[:64], bounds):
+        got = values.select("v", zcurve.bucket_of(F.col("v"), some).alias("b")).collect()
+        assert all(r.b == (0 if r.v is None else sum(r.v >= x for x in some)) for r in got)
+    assert "aggregate" not in str(zcurve.bucket_of(F.col("v"), bounds[:7]))
