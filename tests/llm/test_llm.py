@@ -559,3 +559,38 @@ def test_pipeline_of_odd_tables(spark, odd, empty, tmp_path):
             docs = spark.read.parquet(path)
         packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
         assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_latin_words_are_cut_without_the_library():
+    import pyarrow as pa
+    import public_tokenizers
+
+    from asfalto.llm import wordpiece
+
+    codec = wordpiece.WordCodec(public_tokenizers.path("word_bpe_49k.json"))
+    signs = [chr(n) for n in (*range(33, 127), *range(161, 256))]
+    texts = ["Ação à ÉCOLE d'été ²½x ªb µº«", *(a + b + "s" for a in signs for b in signs[::7])]
+    expected = [e.ids for e in codec._tokenizer.encode_batch(texts, add_special_tokens=False)]
+    codec._normalizer = codec._pre = None  # as slow for a word as all the rest
+    ids, offsets = codec.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+
+
+def test_words_met_often_outlive_a_full_codec(monkeypatch):
+    import pyarrow as pa
+    import public_tokenizers
+
+    from asfalto.llm import wordpiece
+
+    monkeypatch.setattr(wordpiece, "MOST_WORDS", 40)
+    monkeypatch.setattr(wordpiece, "MOST_PIECES", 10)
+    codec = wordpiece.WordCodec(public_tokenizers.path("word_bpe_49k.json"))
+    added = []
+    insert = codec._add
+    codec._add = lambda words: (added.extend(words), insert(words))
+    for n in range(12):
+        texts = ["often été 中文 here", " ".join(f"w{n}x{m}é" for m in range(15))]
+        ids, offsets = codec.encode(pa.array(texts))
+        expected = [e.ids for e in codec._tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    assert added.count("often") == 1 and len(codec._words) < 80
