@@ -497,3 +497,15 @@ def test_few_bounds_are_compared_and_give_the_same_buckets(spark):
         got = values.select("v", zcurve.bucket_of(F.col("v"), some).alias("b")).collect()
         assert all(r.b == (0 if r.v is None else sum(r.v >= x for x in some)) for r in got)
     assert "aggregate" not in str(zcurve.bucket_of(F.col("v"), bounds[:7]))
+
+
+def test_accident_ids_meet_in_bounded_parts(spark, monkeypatch):
+    from asfalto.registry import queries
+
+    expected = queries.accident_id(spark, SMALL).collect()
+    monkeypatch.setattr(queries, "MEETING_ROWS", 1_000)
+    counted = queries.accident_id(spark, SMALL)
+    assert counted.collect() == expected
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    rows = expected[0]["linhas"]
+    assert plan.count("RepartitionByExpression [id_acidente") == 3 and f", {-(-rows // 1_000)}" in plan
