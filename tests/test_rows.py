@@ -131,3 +131,16 @@ def test_cleaning_does_not_depend_on_ansi(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert seen[0] == seen[1]
+
+
+def test_words_do_not_reach_the_cast_of_counts(spark):
+    from pyspark.sql import functions as F
+
+    from asfalto.functions import rows
+
+    cells = ["0", "12", " 7 ", "+3", "-4", "\t5", "\x7f6", "1.5", "", " ", "n/d", "x9", "٣", "2147483648", ":", "/", None]
+    frame = spark.createDataFrame([(c,) for c in cells], "c string").repartition(2)
+    same = rows.parse_count(F.col("c")).eqNullSafe(F.col("c").try_cast("int"))
+    assert frame.where(same).count() == len(cells)
+    plan = frame.select(rows.parse_count(F.col("c")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan  # a failed cast is an exception
