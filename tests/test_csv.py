@@ -294,3 +294,22 @@ def test_pipeline_sets_long_rows_apart(spark, tmp_path):
     assert [r[C.RECORD] for r in kept_out] == [line(data="02/02/2020") + ";x"]
     fact = lake["gold_fato_acidente"].collect()
     assert [(r["id_data"], r["ano"], r["id_rodovia"]) for r in fact] == [(20200201, 2020, 1)]
+
+
+def test_plain_records_are_split_without_a_parser(spark, monkeypatch):
+    records = ["a;b;c", "a;b;c;;", "a;b;c;;x", "a", "", ";;;;", "a;b;c;" + ";" * 70 + "x"]
+    schema = f"{C.RECORD} string, {C.COLUMNS} string, `{S.FILE_COLUMN}` string"
+    wide = [";".join("7" for _ in NAMES) + end for end in ("", ";", ";;x")]
+    held = spark.createDataFrame([(r, ";".join(NAMES), "f") for r in wide], schema)
+    plain = spark.createDataFrame([(r,) for r in records], "r string").repartition(2)
+    judge = lambda: rows_of(plain.select("r", C._surplus(F.col("r"), 3)))
+    with monkeypatch.context() as patch:
+        patch.setattr(C, "_plain", lambda record: F.lit(False))
+        expected = judge(), rows_of(C.parsed(held))
+    fields = C._fields
+
+    def refuse(record, count):
+        return fields(F.when(record.isNotNull(), F.raise_error("parsed")).cast("string"), count)
+
+    monkeypatch.setattr(C, "_fields", refuse)
+    assert (judge(), rows_of(C.parsed(held))) == expected
