@@ -1,9 +1,13 @@
 """Alignment of two tokenizers over the same bytes: which tokens overlap, and where both end together.
 
-Tokens of side A and side B are laid on the bytes of a space and the text. Within a batch, pandas
-merge_asof, keyed by document, takes the start of each token to the other side's token that covers it; the
-union of both directions is every overlapping pair, for an overlap begins where one of its tokens does.
-Ends that both sides share cut the text into groups.
+Tokens of side A and side B are laid on the bytes of a space and the text, one text after another. Within a
+batch, pandas merge_asof takes the start of each token to the other side's token that covers it; the union of
+both directions is every overlapping pair, for an overlap begins where one of its tokens does. Ends that both
+sides share cut the text into groups.
+
+Where both sides have a token end at every single space, groups and links of a text are those of its words in a
+row. So a worker aligns a word when it first meets it and keeps what it found, up to a bound. Texts with other
+runs of white space are aligned whole.
 
 How often two ids overlap is counted over the whole corpus without moving links. A task numbers the distinct
 pairs of a run of documents (a chunk, of bounded size) and stores, per document, those numbers and how
@@ -18,6 +22,7 @@ counts; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,6 +39,7 @@ from asfalto.operators.layout import stage
 
 PART_BYTES = 2 << 20  # text aligned at once
 MOST_WORDS = 400_000
+WORDS_AT_ONCE = 64
 # White space beside white space or an end, or the mark that stands for a space inside one tokenizer. Generous: such a
 # text is only encoded the longer way.
 _SPACE = r"[\s\x0B\x1C-\x1F\x{85}\pZ]"
@@ -42,6 +48,13 @@ _ODD_SPACE = f"{_SPACE}{_SPACE}|^{_SPACE}|{_SPACE}\\z|▁"
 CHUNK_PAIRS = 1 << 19
 CHUNK_LINKS = 1 << 22
 
+# Aligned words or whole texts: whether both sides have the text's bytes (nothing follows if not), numbers of tokens
+# and of groups, the groups with `;` after each, and an entry per overlapping pair of tokens: see Sides.pair.
+UNITS = pa.schema([
+    ("good", pa.bool_()), ("n_a", pa.int32()), ("n_b", pa.int32()), ("n_groups", pa.int32()),
+    ("groups", pa.large_binary()), ("links", pa.large_list(pa.int64())),
+])
+
 # A chunk is a row of place -1 that holds its documents, and a row per distinct pair. Lists have an entry per
 # document: `sizes` says how many of the numbers packed in `places` and `repeats` are its own.
 DOCUMENTS = (
@@ -69,6 +82,13 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+Tokens = tuple[np.ndarray, np.ndarray]  # ids of all texts in a row, offsets of each text
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
 class Side:
     """One tokenizer: ids of texts, and the bytes of each id."""
 
@@ -77,13 +97,30 @@ class Side:
         self.sizes = np.array([len(w) for w in words], np.int64)
         self._data = np.frombuffer(b"".join(words), np.uint8)
         self._starts = np.cumsum(self.sizes) - self.sizes
-        self.decimal = np.array([str(n) for n in range(len(words))], object)
+        decimal = np.array([str(n).encode() for n in range(len(words))])
+        self.digits = decimal.view(np.uint8).reshape(len(words), -1)  # of each id, zero bytes after them
 
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
         return self._data[np.repeat(self._starts[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ids) else 0)]
 
+    def encode_words(self, words: list[str]) -> Tokens:
+        """Words of which none is empty and which single spaces may part: many at once, cut at their bytes."""
+        texts = [" ".join(words[n : n + WORDS_AT_ONCE]) for n in range(0, len(words), WORDS_AT_ONCE)]
+        ids = _flat(self.encode(texts) if texts else [])
+        ends = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy(False) + np.int64(1))
+        at = np.searchsorted(ends, wanted)
+        if len(wanted) and (ends[-1:] != wanted[-1] or (ends[at] != wanted).any()):
+            found = self.encode(words)  # a word's tokens have other bytes than the word
+            return _flat(found), _offsets([len(f) for f in found])
+        return ids, np.concatenate([[0], at + 1])
+
+
+def _flat(found: list[list[int]]) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(found), np.int64, sum(map(len, found)))
+
 
 def byte_side(path: str) -> Side:
     """A byte-level vocabulary of the tokenizers library; a space comes before the text."""
@@ -116,11 +153,8 @@ def piece_side(path: str) -> Side:
     return Side(words, lambda texts: model.encode(texts, num_threads=1), whole_words)
 
 
-Tokens = tuple[np.ndarray, np.ndarray]  # ids of all texts in a row, offsets of each text
-
-
 class Sides:
-    """Both tokenizers over arrays of texts; words met before are not encoded again, up to a bound.
+    """Both tokenizers over arrays of texts; words that were aligned are kept, up to a bound.
 
     Neither side joins what a single space parts, so a text without other runs of white space is its words' ids in
     a row. Other texts are encoded whole.
@@ -132,41 +166,50 @@ class Sides:
 
     def _forget(self) -> None:
         self._places: dict[str, int] = {}
-        self._ids: list[list[np.ndarray]] = [[], []]  # of both sides, arrays joined on use
-        self._ends: list[np.ndarray] = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.known = pa.RecordBatch.from_pylist([], UNITS)
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self._places) > MOST_WORDS:
-            self._forget()
-        new = [w for w in words if w not in self._places]
-        self._places.update(zip(new, range(len(self._places), len(self._places) + len(new))))
-        for n, side in enumerate((self.a, self.b)):
-            found = side.encode(new) if new else []
-            sizes = np.fromiter((len(f) if w else 0 for f, w in zip(found, new)), np.int64, len(new))
-            flat = np.fromiter((i for f, w in zip(found, new) if w for i in f), np.int32, int(sizes.sum()))
-            self._ids[n] = [np.concatenate([*self._ids[n], flat])]
-            self._ends[n] = np.concatenate([self._ends[n], self._ends[n][-1] + np.cumsum(sizes)])
+    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A number for an id of each side."""
+        return a * len(self.b.sizes) + b
 
-    def encode(self, texts: pa.Array) -> tuple[Tokens, Tokens]:
-        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(False)
+    def odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts are to be taken whole."""
         if not (self.a.whole_words and self.b.whole_words):
-            odd = pc.greater(pc.binary_length(texts), 0).to_numpy(False)
+            return pc.greater(pc.binary_length(texts), 0).to_numpy(False)
+        return pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(False)
+
+    def split(self, texts: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """(place of each word among the distinct ones, these, offsets of texts); an odd text is one empty word."""
         lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         encoded = lists.values.dictionary_encode()
-        words = encoded.dictionary.to_pylist()
-        self._learn(words)
-        at = np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))[encoded.indices.to_numpy(False)]
-        offsets = lists.offsets.to_numpy(False)
-        rest = np.flatnonzero(odd).tolist()
-        return tuple(
-            _with_whole(self._tokens(n, at, offsets), rest, side.encode([texts[i].as_py() for i in rest]))
-            for n, side in enumerate((self.a, self.b)))
+        return encoded.indices.to_numpy(False), encoded.dictionary.to_pylist(), lists.offsets.to_numpy(False)
 
-    def _tokens(self, n: int, at: np.ndarray, offsets: np.ndarray) -> Tokens:
-        starts, ends = self._ends[n][at], self._ends[n][at + 1]
-        total = np.concatenate([[0], np.cumsum(ends - starts)])
-        where = np.repeat(starts - total[:-1], ends - starts) + np.arange(total[-1])
-        return self._ids[n][0][where].astype(np.int64), total[offsets]
+    def encode(self, texts: pa.Array) -> tuple[Tokens, Tokens]:
+        odd = self.odd(texts)
+        at, words, offsets = self.split(texts, odd)
+        filled = np.fromiter(map(bool, words), bool, len(words))
+        rest = np.flatnonzero(odd).tolist()
+        whole = [texts[i].as_py() for i in rest]
+        found = []
+        for side in (self.a, self.b):
+            ids, ends = side.encode_words([w for w in words if w])
+            sizes = np.zeros(len(words), np.int64)
+            sizes[filled] = np.diff(ends)
+            total = _offsets(sizes[at])
+            where = np.repeat((np.cumsum(sizes) - sizes)[at] - total[:-1], sizes[at]) + np.arange(total[-1])
+            found.append(_with_whole((ids[where], total[offsets]), rest, side.encode(whole) if whole else []))
+        return tuple(found)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where distinct words are in `known`, the new ones aligned."""
+        if len(self._places) > MOST_WORDS:
+            self._forget()
+        new = [w for w in words if w not in self._places]
+        if new:
+            first = len(self._places)
+            self.known = pa.concat_batches([self.known, units(pa.array(new, pa.string()), self)])
+            self._places.update(zip(new, range(first, first + len(new))))
+        return np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))
 
 
 def _with_whole(tokens: Tokens, places: list[int], found: list[list[int]]) -> Tokens:
@@ -180,49 +223,91 @@ def _with_whole(tokens: Tokens, places: list[int], found: list[list[int]]) -> To
     return np.concatenate([*parts, ids[offsets[last] :]]), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _cut(side: Side, tokens: Tokens, texts: list[str]) -> np.ndarray:
+def _cut(side: Side, tokens: Tokens, texts: pa.Array) -> np.ndarray:
     """Which texts' tokens have the bytes of a space and the text; an empty text has none."""
     ids, offsets = tokens
-    data = side.bytes_of(ids)
-    ends = np.concatenate([[0], np.cumsum(side.sizes[ids])])[offsets]
-    return np.array([
-        bool(t) and data[a:b].tobytes() == f" {t}".encode() for t, a, b in zip(texts, ends[:-1], ends[1:])], bool)
+    wanted = pc.binary_length(texts).to_numpy(False) + np.int64(1)
+    good = (np.diff(_offsets(side.sizes[ids])[offsets]) == wanted) & (wanted > 1)
+    data = side.bytes_of(ids[np.repeat(good, np.diff(offsets))])
+    large = pa.large_string()
+    spaced = pc.binary_join_element_wise(
+        pa.scalar("", large), texts.filter(pa.array(good)).cast(large), pa.scalar(" ", large))
+    other = np.flatnonzero(data != np.frombuffer(spaced.buffers()[2] or b"", np.uint8, len(data)))
+    good[np.flatnonzero(good)[np.searchsorted(np.cumsum(wanted[good]), other, side="right")]] = False
+    return good
 
 
 def _side_frame(side: Side, tokens: Tokens, good: np.ndarray, at: str) -> pd.DataFrame:
-    """A row per token: document, id, first byte and the byte after the last, counted over all documents."""
+    """A row per token: text, id, first byte and the byte after the last, counted over all texts."""
     ids, offsets = tokens
-    doc = np.repeat(np.arange(len(good)), np.diff(offsets))
-    kept = good[doc]
-    doc, ids = doc[kept], ids[kept]
+    text = np.repeat(np.arange(len(good)), np.diff(offsets))
+    kept = good[text]
+    text, ids = text[kept], ids[kept]
     sizes = side.sizes[ids]
     ends = np.cumsum(sizes)
-    return pd.DataFrame({"doc": doc, at: ids, "start": ends - sizes, "end": ends}, copy=False)
+    return pd.DataFrame({"text": text, at: ids, "start": ends - sizes, "end": ends}, copy=False)
+
+
+def _shared_ends(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of each side end where one of the other side does."""
+    ends = a["end"].to_numpy(), b["end"].to_numpy()
+    marks = np.zeros((2, int(ends[0][-1]) + 1 if len(a) else 0), bool)
+    for own, side in zip(marks, ends):
+        own[side] = True
+    return marks[1][ends[0]], marks[0][ends[1]]
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    """(doc, a, b) of every pair of tokens whose bytes overlap, one row a pair of occurrences."""
-    forth = pd.merge_asof(a[["start", "doc", "a"]], b[["start", "doc", "b"]], on="start", by="doc")
-    # where both begin, the pair is already there
-    only_b = b[~b["start"].isin(a["start"])]
-    back = pd.merge_asof(only_b[["start", "doc", "b"]], a[["start", "doc", "a"]], on="start", by="doc")
-    return pd.concat([forth, back], ignore_index=True)[["doc", "a", "b"]]
-
-
-def group_texts(a_side: Side, b_side: Side, a: pd.DataFrame, b: pd.DataFrame, count: int) -> tuple[np.ndarray, list[str]]:
-    """Number of groups of each document, and their ids as `a1,a2|b1;a3|b2,b3`."""
-    cuts, at_a, at_b = np.intersect1d(a["end"], b["end"], assume_unique=True, return_indices=True)
-    groups = np.bincount(a["doc"].to_numpy()[at_a], minlength=count)
-    ids = np.concatenate([a_side.decimal[a["a"]], b_side.decimal[b["b"]]])
-    marks = np.full(len(ids), ",", object)
-    marks[at_a], marks[len(a) + at_b] = "|", ";"
-    group = np.searchsorted(cuts, np.concatenate([a["end"], b["end"]]))
-    order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), group))  # stable: tokens stay in order
-    both = np.empty(2 * len(ids), object)
-    both[0::2], both[1::2] = ids[order], marks[order]
-    tokens = np.bincount(np.concatenate([a["doc"], b["doc"]]), minlength=count)
-    ends = 2 * np.cumsum(tokens)
-    return groups, ["".join(both[e - 2 * n : max(0, e - 1)]) for e, n in zip(ends, tokens)]
+    """(text, a, b) of every pair of tokens whose bytes overlap, one row a pair of occurrences, text by text.
+
+    Both sides have the same bytes, so the last token to start before a byte is one of the same text.
+    """
+    forth = pd.merge_asof(a[["start", "text", "a"]], b[["start", "b"]], on="start")
+    # where both begin, the pair is already there; a token begins where the one before it ends
+    shared = np.concatenate([[True], _shared_ends(a, b)[1][:-1]]) if len(b) else np.zeros(0, bool)
+    back = pd.merge_asof(b.loc[~shared, ["start", "text", "b"]], a[["start", "a"]], on="start")
+    found = pd.concat([forth, back], ignore_index=True)[["text", "a", "b"]]
+    return found.iloc[np.argsort(found["text"].to_numpy(), kind="stable")]
+
+
+def group_texts(
+    a_side: Side, b_side: Side, a: pd.DataFrame, b: pd.DataFrame, count: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of groups of each text; their ids as `a1,a2|b1;a3|b2,b3;`, all texts in a row; bytes of each."""
+    last_a, last_b = _shared_ends(a, b)
+    at_a, at_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
+    # before a token stand those of its side, and the other side's of the groups before it, or as well of its own
+    place_a = np.arange(len(a)) + np.concatenate([[0], at_b + 1])[np.cumsum(last_a) - last_a]
+    place_b = np.arange(len(b)) + (at_a + 1)[np.cumsum(last_b) - last_b]
+    widths = [side.digits.shape[1] for side in (a_side, b_side)]
+    cells = np.zeros((len(a) + len(b), max(widths) + 1), np.uint8)
+    cells[place_a, : widths[0]], cells[place_b, : widths[1]] = a_side.digits[a["a"]], b_side.digits[b["b"]]
+    cells[place_a, -1] = np.where(last_a, ord("|"), ord(","))
+    cells[place_b, -1] = np.where(last_b, ord(";"), ord(","))
+    filled = cells != 0
+    ends = _offsets(filled.sum(axis=1))
+    tokens = np.bincount(np.concatenate([a["text"], b["text"]]), minlength=count)
+    groups = np.bincount(a["text"].to_numpy()[at_a], minlength=count)
+    return groups, cells[filled], np.diff(ends[_offsets(tokens)])
+
+
+def units(texts: pa.Array, sides: Sides) -> pa.RecordBatch:
+    """Each text aligned by itself: see UNITS."""
+    a_tokens, b_tokens = sides.encode(texts)
+    good = _cut(sides.a, a_tokens, texts) & _cut(sides.b, b_tokens, texts)
+    a, b = _side_frame(sides.a, a_tokens, good, "a"), _side_frame(sides.b, b_tokens, good, "b")
+    n_groups, groups, sizes = group_texts(sides.a, sides.b, a, b, len(texts))
+    links = overlaps(a, b)
+    pairs = sides.pair(links["a"].to_numpy(np.int64), links["b"].to_numpy(np.int64))
+    n_links = np.bincount(links["text"], minlength=len(texts))
+    return pa.RecordBatch.from_arrays([
+        pa.array(good),
+        *(pa.array(np.where(good, np.diff(t[1]), 0), pa.int32()) for t in (a_tokens, b_tokens)),
+        pa.array(n_groups, pa.int32()),
+        pa.Array.from_buffers(
+            pa.large_binary(), len(texts), [None, pa.py_buffer(_offsets(sizes)), pa.py_buffer(groups)]),
+        pa.LargeListArray.from_arrays(pa.array(_offsets(n_links)), pa.array(pairs)),
+    ], schema=UNITS)
 
 
 @dataclass
@@ -240,21 +325,31 @@ class Part:
 
 
 def align(doc_ids: list[int | None], texts: pa.Array, sides: Sides) -> Part:
-    a_side, b_side = sides.a, sides.b
-    a_tokens, b_tokens = sides.encode(texts)
-    texts = texts.to_pylist()
-    good = _cut(a_side, a_tokens, texts) & _cut(b_side, b_tokens, texts)
-    count = len(texts)
-    a, b = _side_frame(a_side, a_tokens, good, "a"), _side_frame(b_side, b_tokens, good, "b")
-    n_groups, grouped = group_texts(a_side, b_side, a, b, count)
-    links = overlaps(a, b)
-    pairs, code = np.unique((links["a"].to_numpy() << 32) | links["b"].to_numpy(), return_inverse=True)
-    own, repeats = np.unique(links["doc"].to_numpy() * max(1, len(pairs)) + code, return_counts=True)
-    owner, code = np.divmod(own, max(1, len(pairs)))
+    count, odd = len(texts), sides.odd(texts)
+    at, words, offsets = sides.split(texts, odd)
+    at, known = sides.places(words)[at], sides.known
+    if odd.any():
+        at[offsets[:-1][odd]] = len(known) + np.arange(odd.sum())
+        known = pa.concat_batches([known, units(texts.filter(pa.array(odd)), sides)])
+    lost = _offsets(~known["good"].to_numpy(False)[at])[offsets]
+    sizes = np.diff(offsets)
+    good = np.diff(lost) == 0
+    found = known.take(pa.array(at[np.repeat(good, sizes)]))
+    offsets = _offsets(np.where(good, sizes, 0))
+    n_a, n_b, n_groups = (np.diff(_offsets(found[n].to_numpy(False))[offsets]) for n in ("n_a", "n_b", "n_groups"))
+    grouped = memoryview(found["groups"].buffers()[2] or b"")
+    ends = _offsets(pc.binary_length(found["groups"]).to_numpy(False))[offsets]
+    links = np.diff(_offsets(pc.list_value_length(found["links"]).to_numpy(False))[offsets])
+    most = max(1, len(sides.a.sizes) * len(sides.b.sizes))
+    own, repeats = np.unique(
+        np.repeat(np.arange(count) * most, links) + found["links"].flatten().to_numpy(False), return_counts=True)
+    owner, pairs = np.divmod(own, most)
+    a, b = np.divmod(pairs, len(sides.b.sizes))
     return Part(
-        doc_ids, *(np.where(good, np.diff(t[1]), 0) for t in (a_tokens, b_tokens)), n_groups,
-        [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in grouped],
-        np.bincount(owner, minlength=count), pairs[code], repeats,
+        doc_ids, n_a, n_b, n_groups,
+        # without the last `;`
+        [hashlib.sha256(grouped[x : y - 1]).hexdigest() if x < y else "" for x, y in zip(ends[:-1], ends[1:])],
+        np.bincount(owner, minlength=count), (a << 32) | b, repeats,
     )
 
 

@@ -255,6 +255,51 @@ def test_words_encoded_once_are_words_of_whole_texts():
                 assert ids[offsets[n] : offsets[n + 1]].tolist() == (whole[n] if text else []), repr(text)
 
 
+def test_words_are_aligned_once(monkeypatch):
+    """A word met before costs no alignment; the documents are as if each were aligned whole, also after forgetting."""
+    aligned, overlaps = [0], span_links.overlaps
+
+    def counted(a, b):
+        aligned[0] += len(a)
+        return overlaps(a, b)
+
+    monkeypatch.setattr(span_links, "overlaps", counted)
+    rng = np.random.default_rng(13)
+    bits = ["un", "believ", "able", "é", "日本", "'s", "42", "\n", "...", "✓"]
+    words = {"".join(rng.choice(bits, rng.integers(1, 5))).strip() or "x" for _ in range(300)}
+    words = sorted(w for w in words if "\n\n" not in w)  # which would make a text one that is aligned whole
+    texts = [" ".join(rng.choice(words, rng.integers(1, 40))) for _ in range(600)]
+    odd = ["", " ", "two  spaces", "x▁y", "end ", " <s> </s>"]
+
+    def of(sides, texts):
+        part = span_links.align(list(range(len(texts))), pa.array(texts), sides)
+        owner = np.repeat(np.arange(len(texts)), part.sizes)
+        n_links = np.bincount(owner, part.repeats, len(texts)).astype(int)
+        return list(zip(part.n_a, part.n_b, part.n_groups, n_links, part.hashes))
+
+    def wanted(texts):
+        return [(*row[:4], row[6]) for row in aligned_plainly(texts)]
+
+    sides = span_links.Sides(span_links.byte_side(A), span_links.piece_side(B))
+    first, again = of(sides, texts), [of(sides, texts[n : n + 100]) for n in range(0, len(texts), 100)]
+    assert first == sum(again, []) == wanted(texts)
+    tokens = sum(row[0] for row in first)
+    assert aligned[0] < tokens / 5
+    monkeypatch.setattr(span_links, "MOST_WORDS", 50)
+    for n in range(0, len(texts), 100):
+        assert of(sides, texts[n : n + 100] + odd) == wanted(texts[n : n + 100] + odd)
+
+
+def test_words_whose_tokens_have_other_bytes_are_cut_right():
+    def dropping(texts):
+        return [[" ab".index(c) for c in f" {text}" if c != "!"] for text in texts]
+
+    side = span_links.Side([b" ", b"a", b"b"], dropping, True)
+    for words in (["ab", "a", "b"], ["a!", "ab", "!b", "a"], ["a", "ab!"], []):
+        ids, offsets = side.encode_words(words)
+        assert [ids[x:y].tolist() for x, y in itertools.pairwise(offsets)] == dropping(words)
+
+
 def test_alignment_is_linear_in_the_text(spark):
     start = time.monotonic()
     assert span_links.aligned(table(spark, [(1, SENTENCE * 20_000)]), A, B).first().n_a > 250_000
